@@ -19,6 +19,7 @@ MONDAY, TUESDAY, WEDNESDAY, THURSDAY, FRIDAY, SATURDAY, SUNDAY = range(7)
 
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 ONE_DAY = "INTERVAL 1 DAY"
+MICROSECOND = "INTERVAL 0.000001 SECOND"
 
 
 def wall_time(value: date | datetime | str, zone: str | None = None) -> datetime:
@@ -61,9 +62,7 @@ def bound_literal(
 def instant_to_wall(instant: Column | str, zone: str = "UTC") -> Column:
     """The wall-clock time a zone shows at an instant."""
     instant = F.col(instant) if isinstance(instant, str) else instant
-    seconds = (F.unix_micros(instant) / F.lit(1_000_000)).cast("decimal(18,6)")
-    zero = F.lit(0)
-    in_utc = F.expr(EPOCH) + F.make_dt_interval(zero, zero, zero, seconds)
+    in_utc = F.expr(EPOCH) + F.expr(MICROSECOND) * F.unix_micros(instant)
     return in_utc if zone == "UTC" else shift_zone(in_utc, "UTC", zone)
 
 

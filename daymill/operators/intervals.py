@@ -30,7 +30,7 @@ class Extent:
 
 
 def _last_moment(interval_end: str = "interval_end") -> Column:
-    return F.col(interval_end) - F.expr("INTERVAL 0.000001 SECOND")
+    return F.col(interval_end) - F.expr(clock.MICROSECOND)
 
 
 def calendar_extent(calendar: DataFrame) -> Extent | None:

@@ -28,6 +28,15 @@ def _totals(amount: str) -> list[Column]:
     ]
 
 
+def _within(
+    facts: DataFrame, ts: str, start: Moment | None, end: Moment | None, zone: str | None
+) -> DataFrame:
+    """Facts of the interval, or of all time. A row without a time is in neither."""
+    if start is None and end is None:
+        return facts.where(F.col(ts).isNotNull())
+    return half_open(facts, ts, start, end, zone)
+
+
 def daily_summary(
     facts: DataFrame,
     ts: str = "order_dt",
@@ -40,8 +49,7 @@ def daily_summary(
 
     A day without rows yields no row, and a day of null amounts a null total.
     """
-    if start is not None and end is not None:
-        facts = half_open(facts, ts, start, end, zone)
+    facts = _within(facts, ts, start, end, zone)
     day = F.to_date(clock.wall_clock(facts, ts, zone))
     return facts.groupBy(day.alias("summary_date")).agg(*_totals(amount))
 
@@ -54,8 +62,7 @@ def hourly_count(
     zone: str | None = None,
 ) -> DataFrame:
     """``order_hour`` and ``cnt``, in order of the hour."""
-    if start is not None and end is not None:
-        facts = half_open(facts, ts, start, end, zone)
+    facts = _within(facts, ts, start, end, zone)
     hour = clock.hour_start(clock.wall_clock(facts, ts, zone))
     return (
         facts.groupBy(hour.alias("order_hour"))

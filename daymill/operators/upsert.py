@@ -88,6 +88,8 @@ def upsert_table(
     incoming = source.select(key, *measures)
     with staged(incoming, "upsert") as new:
         require_constraints(new, key=key, not_null=(key, *measures))
+        # Other sessions may have written since this one last listed the files.
+        spark.catalog.refreshTable(table)
         target = spark.table(table)
         months = new.select(month_of(key).alias(PARTITION)).distinct()
         listed = months.limit(LISTED_PARTITIONS + 1).collect()

@@ -110,7 +110,10 @@ ORACLES = {
     """,
     "b8_recreate_users": NUMBERED.format(order="c_custkey"),
     "b9_insert_with_ids": NUMBERED.format(order="c_mktsegment <> 'BUILDING', c_custkey"),
-    "b10_create_summary": f"SELECT {ORDERS_DAILY} FROM orders GROUP BY CAST(o_orderdate AS DATE)",
+    "b10_create_summary": f"""
+        SELECT {ORDERS_DAILY} FROM orders
+        WHERE o_orderdate IS NOT NULL GROUP BY CAST(o_orderdate AS DATE)
+    """,
     "b11_upsert_summary": f"""
         WITH early AS (
             SELECT {EVENTS_DAILY} FROM events WHERE event_type <> 'error' GROUP BY 1
@@ -199,12 +202,12 @@ ORACLES = {
             WHERE o_orderpriority = '1-URGENT' AND date_trunc('day', o_orderdate) = tick
         )
     """,
-    "e1_daily_summary": f"SELECT {EVENTS_DAILY} FROM events GROUP BY CAST(ts AS DATE)",
+    "e1_daily_summary": f"SELECT {EVENTS_DAILY} FROM events WHERE ts IS NOT NULL GROUP BY CAST(ts AS DATE)",
     "e1_zoned_daily_summary": f"""
         SELECT {DAILY.format(ts="ts + INTERVAL 9 HOUR", amount="value")}
-        FROM events GROUP BY CAST(ts + INTERVAL 9 HOUR AS DATE)
+        FROM events WHERE ts IS NOT NULL GROUP BY CAST(ts + INTERVAL 9 HOUR AS DATE)
     """,
-    "e2_hourly_count": f"{HOURLY} GROUP BY 1",
+    "e2_hourly_count": f"{HOURLY} WHERE ts IS NOT NULL GROUP BY 1",
     "e4_backfill_summary": interval_summary(CRON_INTERVAL),
     "f2_latest_interval": f"""
         SELECT * FROM ({DAILY_CALENDAR}) c
@@ -265,5 +268,5 @@ ORACLES = {
     "j5_summary_load_from_file": f"""
         SELECT {EVENTS_DAILY} FROM events WHERE {RUN_BOUNDS} GROUP BY CAST(ts AS DATE)
     """,
-    "k1_incremental_daily_summary": f"SELECT {EVENTS_DAILY} FROM events GROUP BY CAST(ts AS DATE)",
+    "k1_incremental_daily_summary": f"SELECT {EVENTS_DAILY} FROM events WHERE ts IS NOT NULL GROUP BY CAST(ts AS DATE)",
 }

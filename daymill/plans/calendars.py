@@ -18,8 +18,6 @@ from daymill.functions import clock
 from daymill.operators.filters import Moment
 
 COLUMNS = ("interval_start", "interval_end", "logical_date")
-EVERY_DAY = range(7)
-
 
 def fixed_bounds(
     spark: SparkSession, first: Moment, last: Moment, zone: str | None = None
@@ -45,15 +43,23 @@ def observed_bounds(df: DataFrame, ts: str, zone: str | None = None) -> DataFram
     return fixed_bounds(df.sparkSession, found["first"], found["last"])
 
 
-def _midnights(bounds: DataFrame, days: Iterable[int] = EVERY_DAY) -> DataFrame:
-    """Midnights within the bounds, on the given cron days (0 = Sunday)."""
+def _midnights(bounds: DataFrame, days: Iterable[int] | None = None) -> DataFrame:
+    """Midnights within the bounds, all or those of some cron days (0 = Sunday)."""
     opening = clock.day_start(F.col("first") + F.expr("INTERVAL '23:59:59.999999' HOUR TO SECOND"))
     ticks = F.when(
         opening <= F.col("last"), F.sequence(opening, F.col("last"), F.expr(clock.ONE_DAY))
     )
-    return bounds.select(F.explode(ticks).alias("tick")).where(
-        clock.cron_day("tick").isin(*set(days))
-    )
+    midnights = bounds.select(F.explode(ticks).alias("tick"))
+    if days is None:
+        return midnights
+    return midnights.where(clock.cron_day("tick").isin(*_cron_days(days)))
+
+
+def _cron_days(days: Iterable[int]) -> set[int]:
+    chosen = set(days)
+    if not chosen or not chosen <= set(range(7)):
+        raise ValueError("days must be some of 0 (Sunday) to 6 (Saturday)")
+    return chosen
 
 
 def _intervals(ticks: DataFrame, length: Column) -> DataFrame:
@@ -85,10 +91,8 @@ def cron_interval_calendar(bounds: DataFrame, days: Iterable[int]) -> DataFrame:
     The days are few, so the way to the next run is looked up by the day of the
     week, which needs neither a sort nor the run after the last.
     """
-    runs = set(days)
-    if not runs or not runs <= set(EVERY_DAY):
-        raise ValueError("days must be some of 0 (Sunday) to 6 (Saturday)")
-    gaps = [next(g for g in range(1, 8) if (day + g) % 7 in runs) for day in EVERY_DAY]
+    runs = _cron_days(days)
+    gaps = [next(g for g in range(1, 8) if (day + g) % 7 in runs) for day in range(7)]
     gap = F.element_at(F.array(*map(F.lit, gaps)), clock.cron_day("tick") + 1)
     return _intervals(_midnights(bounds, runs), F.make_dt_interval(gap))
 
@@ -131,7 +135,7 @@ def business_point_calendar(bounds: DataFrame, holidays: DataFrame | Sequence[da
     A run comes a day after its data, so Sundays and Mondays are left out, and
     the days after holidays.
     """
-    daily = cron_point_calendar(bounds, EVERY_DAY)
+    daily = _points(_midnights(bounds))
     working = ~clock.falls_on("logical_date", (clock.SUNDAY, clock.MONDAY))
     return drop_holidays(daily.where(working), holidays, shift_days=1)
 

@@ -40,6 +40,7 @@ def insert_users(users: DataFrame, table: str, order_by: Sequence[str] = ("name"
     clocks take one reading. One writer at a time.
     """
     spark = users.sparkSession
+    spark.catalog.refreshTable(table)
     highest = spark.table(table).agg(F.max("id").alias("id")).first()["id"] or 0
     needed = list(dict.fromkeys(("name", "age", *order_by)))
     with with_dense_ids(users.select(*needed), order_by, after=highest) as rows:
@@ -55,5 +56,6 @@ def create_summary(spark: SparkSession, table: str) -> None:
 
 
 def read_summary(spark: SparkSession, table: str) -> DataFrame:
-    """A summary table without the column it is partitioned by."""
+    """A summary table, as last written, without the column it is partitioned by."""
+    spark.catalog.refreshTable(table)
     return spark.table(table).drop(PARTITION)

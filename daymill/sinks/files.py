@@ -44,7 +44,7 @@ def write_parquet(df: DataFrame, path: str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """What ``write_csv`` wrote."""
+    """What ``write_csv`` wrote. CSV cannot tell empty text from null, so it reads as null."""
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
