@@ -97,7 +97,8 @@ def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price-feed payloads from ``events``, landed as JSON and read back.
 
     One payload per event, of two moments five minutes apart. The market cap
-    is given for the first only, and for error events not at all.
+    is given for the first only, and for error events not at all. Payloads
+    have a number of their own, as events may be copies of each other.
     """
     ms = clock.epoch_ms("ts").cast("double")
 
@@ -109,6 +110,7 @@ def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = table(spark, sf_dir, "events").select(
         F.to_json(
             F.struct(
+                F.monotonically_increasing_id().alias("payload_id"),
                 "event_id",
                 F.array(*points("value")).alias("prices"),
                 F.array(*points("user_id")).alias("total_volumes"),
@@ -120,7 +122,7 @@ def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = scratch_path(spark, "payloads")
     payload.write.text(path)
-    return market_json.read_payloads(spark, path, keys="event_id BIGINT")
+    return market_json.read_payloads(spark, path, keys="payload_id BIGINT, event_id BIGINT")
 
 
 @registered
@@ -357,8 +359,9 @@ def c8_no_rows_no_summary(spark, sf_dir):
 
 @registered
 def d1_market_three_way_join(spark, sf_dir):
-    frame = market.build_coin_frame(landed_payloads(spark, sf_dir), keys=["event_id"])
-    return frame.withColumn("datetime", clock.instant_to_wall("datetime"))
+    payloads = landed_payloads(spark, sf_dir)
+    frame = market.build_coin_frame(payloads, keys=["payload_id", "event_id"])
+    return frame.drop("payload_id").withColumn("datetime", clock.instant_to_wall("datetime"))
 
 
 @registered
@@ -420,9 +423,13 @@ def e4_backfill_summary(spark, sf_dir):
 
 @registered
 def f2_latest_interval(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    calendar = calendars.daily_calendar(calendars.data_bounds(events, "ts"))
-    return calendars.latest_interval(calendar, events.agg(F.max("ts")).scalar())
+    """The last day that was over when the last event came."""
+    events = table(spark, sf_dir, "events").where("ts IS NOT NULL")
+    span = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
+    calendar = calendars.daily_calendar(
+        span.select(clock.day_start(F.col("first")).alias("first"), "last")
+    )
+    return calendars.latest_interval(calendar, span.select("last").scalar())
 
 
 @registered

@@ -17,29 +17,42 @@ PLACE_BITS = 33
 
 @contextmanager
 def with_dense_ids(
-    df: DataFrame, order_by: Sequence[str], after: int = 0, id_column: str = "id"
+    df: DataFrame, order_by: Sequence[str] = (), after: int = 0, id_column: str = "id"
 ) -> Iterator[DataFrame]:
-    """``df`` with ids ``after + 1, after + 2, …`` in the order of ``order_by``.
+    """``df`` with ids ``after + 1, after + 2, …``, in the order of ``order_by`` or as it comes.
 
-    Rows are sorted by range over all tasks and written once with their place
-    in the task. Only the row counts of the tasks are then added up, and each
-    task's rows move up by those before it. ``order_by`` should name a key:
-    rows that tie in it get ids in no set order.
+    Rows are written once with their task and their place in it. Only the row
+    counts of the tasks are then added up, and each task's rows move up by
+    those before it.
+
+    Sorting adds a second write: rows that tie are told apart by the place
+    they first had, so that a value most rows share is spread over many tasks,
+    and that place must not change when a task is run again.
     """
-    placed = (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_spot", F.monotonically_increasing_id())
-    )
-    with staged(placed, "ids") as rows:
-        rows = rows.withColumn("_task", F.shiftright("_spot", PLACE_BITS))
-        # One row per task of the sort: small enough to order and to broadcast.
-        before = W.orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
-        offsets = (
-            rows.groupBy("_task")
-            .agg(F.count("*").alias("_n"))
-            .select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    spot = F.monotonically_increasing_id()
+    with staged(df.withColumn("_spot", spot), "arrivals") as arrivals:
+        if not order_by:
+            yield _numbered(arrivals, after, id_column)
+            return
+        placed = (
+            arrivals.repartitionByRange(*order_by, "_spot")
+            .sortWithinPartitions(*order_by, "_spot")
+            .withColumn("_spot", spot)
         )
-        place = F.col("_spot").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
-        dense = (F.lit(after) + F.col("_before") + place + 1).alias(id_column)
-        yield rows.join(F.broadcast(offsets), "_task").select(dense, *df.columns)
+        with staged(placed, "placed") as rows:
+            yield _numbered(rows, after, id_column)
+
+
+def _numbered(rows: DataFrame, after: int, id_column: str) -> DataFrame:
+    names = [c for c in rows.columns if c != "_spot"]
+    rows = rows.withColumn("_task", F.shiftright("_spot", PLACE_BITS))
+    # One row per task that wrote: few enough to order and to broadcast.
+    before = W.orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        rows.groupBy("_task")
+        .agg(F.count("*").alias("_n"))
+        .select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    )
+    place = F.col("_spot").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    dense = (F.lit(after) + F.col("_before") + place + 1).alias(id_column)
+    return rows.join(F.broadcast(offsets), "_task").select(dense, *names)

@@ -166,21 +166,23 @@ ORACLES = {
     "c7_weekday_filter": "SELECT event_id, ts FROM events WHERE isodow(ts) IN (6, 7)",
     "c8_no_rows_no_summary": interval_summary(DAILY_CALENDAR),
     "d1_market_three_way_join": """
-        WITH moments AS (
-            SELECT event_id, epoch_us(ts) // 1000 AS ms, value, user_id, event_type FROM events
+        WITH moments AS MATERIALIZED (
+            SELECT row_number() OVER () AS payload_id, event_id,
+                   epoch_us(ts) // 1000 AS ms, value, user_id, event_type
+            FROM events
         ), two AS (
-            SELECT event_id, ms, value, user_id FROM moments
+            SELECT payload_id, event_id, ms, value, user_id FROM moments
             UNION ALL
-            SELECT event_id, ms + 300000, value, user_id FROM moments
+            SELECT payload_id, event_id, ms + 300000, value, user_id FROM moments
         ), caps AS (
-            SELECT event_id, ms, CAST(event_id AS DOUBLE) AS market_cap
+            SELECT payload_id, ms, CAST(event_id AS DOUBLE) AS market_cap
             FROM moments WHERE event_type <> 'error'
         )
         SELECT p.event_id, epoch_ms(p.ms) AS datetime, p.value AS price,
                CAST(v.user_id AS DOUBLE) AS volume, m.market_cap
         FROM two p
-        JOIN two v ON p.event_id = v.event_id AND p.ms = v.ms
-        JOIN caps m ON p.event_id = m.event_id AND p.ms = m.ms
+        JOIN two v ON p.payload_id = v.payload_id AND p.ms = v.ms
+        JOIN caps m ON p.payload_id = m.payload_id AND p.ms = m.ms
     """,
     "d2_interval_join": f"""
         SELECT event_id, ts, interval_start, interval_end

@@ -37,10 +37,11 @@ def data_bounds(df: DataFrame, ts: str, zone: str | None = None) -> DataFrame:
 
 def observed_bounds(df: DataFrame, ts: str, zone: str | None = None) -> DataFrame:
     """The same, looked up once, so that plans on it do not scan the data again."""
-    found = data_bounds(df, ts, zone).first()
-    if found["first"] is None:
-        raise ValueError(f"{ts} has no values to take bounds from")
-    return fixed_bounds(df.sparkSession, found["first"], found["last"])
+    found = data_bounds(df, ts, zone)
+    row = found.first()
+    if row["first"] is None:
+        return found.where(F.lit(False))
+    return fixed_bounds(df.sparkSession, row["first"], row["last"])
 
 
 def _midnights(bounds: DataFrame, days: Iterable[int] | None = None) -> DataFrame:

@@ -33,11 +33,11 @@ def sample_users(spark: SparkSession) -> DataFrame:
     return literal_rows(spark, "name STRING, age INT", SAMPLE_USERS)
 
 
-def insert_users(users: DataFrame, table: str, order_by: Sequence[str] = ("name",)) -> None:
+def insert_users(users: DataFrame, table: str, order_by: Sequence[str] = ()) -> None:
     """Append ``name`` and ``age`` with ids after the highest so far.
 
-    Ids follow ``order_by``, columns of ``users`` that together are a key. Both
-    clocks take one reading. One writer at a time.
+    Ids follow ``order_by``, columns of ``users``, or else the rows as they
+    come. Both clocks take one reading. One writer at a time.
     """
     spark = users.sparkSession
     spark.catalog.refreshTable(table)

@@ -34,8 +34,8 @@ def test_recreate_users_drops_earlier_rows(spark, schema):
 def test_inserts_continue_the_ids(spark, schema):
     name = f"{schema}.users"
     tables.recreate_users(spark, name)
-    tables.insert_users(tables.sample_users(spark).where("age >= 30"), name)
-    tables.insert_users(tables.sample_users(spark).where("age < 30"), name)
+    tables.insert_users(tables.sample_users(spark).where("age >= 30"), name, ["name"])
+    tables.insert_users(tables.sample_users(spark).where("age < 30"), name, ["name"])
     assert tuples(spark.table(name).select("id", "name", "age")) == [
         (1, "Alice", 30), (2, "Charlie", 40), (3, "Min", 50), (4, "Bob", 25), (5, "Jane", 28), (6, "John", 20),
     ]
@@ -71,12 +71,28 @@ def test_create_summary_keeps_an_existing_table(spark, schema):
 
 
 def test_dense_ids_over_many_tasks(spark):
-    """Most rows share the first part of the key; the key as a whole is unique."""
+    """Most rows share the value they are ordered by, and are still spread."""
     df = spark.range(20_000).selectExpr("IF(id % 3 = 0, id, 7) AS a", "id AS b").repartition(13)
-    with with_dense_ids(df, ["a", "b"], after=100) as rows:
-        got = rows.orderBy("a", "b").collect()
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        with with_dense_ids(df, ["a"], after=100) as rows:
+            assert rows.columns == ["id", "a", "b"]
+            got = rows.orderBy("id").collect()
+            sizes = [spark.read.parquet(f).count() for f in rows.inputFiles()]
+    finally:
+        spark.conf.unset(setting)
     assert [r.id for r in got] == list(range(101, 20_101))
-    assert rows.columns == ["id", "a", "b"]
+    assert [r.a for r in got] == sorted(r.a for r in got)
+    assert sorted(r.b for r in got) == list(range(20_000))
+    assert max(sizes) < 4_000
+
+
+def test_dense_ids_as_rows_come(spark):
+    df = spark.range(1000, numPartitions=7).selectExpr("id * 2 AS k")
+    with with_dense_ids(df) as rows:
+        got = rows.orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(i + 1, 2 * i) for i in range(1000)]
 
 
 def test_dense_ids_of_nothing(spark):
