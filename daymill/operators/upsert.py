@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymill.operators.constraints import require_constraints
-from daymill.session import dynamic_partition_overwrite, staged
+from daymill.session import staged
 
 MEASURES = ("order_cnt", "total_amount")
 PARTITION = "summary_month"
@@ -79,10 +79,12 @@ def upsert_table(
     measures: Sequence[str] = MEASURES,
     as_of: datetime | None = None,
 ) -> None:
-    """Upsert into a summary table, which is partitioned by the month of its key.
+    """Upsert into a summary table, partitioned by the month of its key.
 
     The source is computed once and checked before the target is touched. Only
-    months it reports are read and rewritten. One writer per table at a time.
+    months it reports are read and rewritten, for which the table must have
+    ``partitionOverwriteMode`` among its options; Spark refuses to overwrite
+    it otherwise. One writer per table at a time.
     """
     spark = source.sparkSession
     incoming = source.select(key, *measures)
@@ -105,5 +107,4 @@ def upsert_table(
             .select(*target.columns)
             .hint("rebalance", PARTITION)
         )
-        with dynamic_partition_overwrite(spark):
-            merged.write.insertInto(table, overwrite=True)
+        merged.write.insertInto(table, overwrite=True)

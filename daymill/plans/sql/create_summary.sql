@@ -7,4 +7,5 @@ CREATE TABLE IF NOT EXISTS IDENTIFIER(:table) (
   summary_month STRING
 )
 USING PARQUET
+OPTIONS ('partitionOverwriteMode' = 'dynamic')
 PARTITIONED BY (summary_month)

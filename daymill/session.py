@@ -68,15 +68,3 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
         yield spark.table(table)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
-
-
-@contextmanager
-def dynamic_partition_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only the partitions a write touches, for the enclosed writes."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)

@@ -90,6 +90,19 @@ def test_jdbc_options_of_a_split_query():
     }
 
 
+def test_jdbc_split_is_taken_from_the_data(spark, monkeypatch):
+    asked = []
+
+    def answer(spark, url, query, **options):
+        asked.append((query, options))
+        return spark.createDataFrame([(3, 900)], "low INT, high INT")
+
+    monkeypatch.setattr(jdbc, "read_query", answer)
+    split = jdbc.split_evenly(spark, "jdbc:x:y", "SELECT * FROM users;", "id", 4, user="u")
+    assert split == jdbc.Split("id", 3, 900, 4)
+    assert asked == [("SELECT min(id) AS low, max(id) AS high FROM (SELECT * FROM users) q", {"user": "u"})]
+
+
 def test_jdbc_reads_through_spark(spark):
     """There is no such driver: Spark's JDBC source is asked, and says so."""
     with pytest.raises(Exception, match="No suitable driver"):

@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import plan_of, tuples
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from daymill.functions import clock
@@ -85,16 +86,26 @@ def test_a_bad_row_fails_the_whole_upsert(spark, target, bad):
     assert stored(spark, target) == [("2024-01-30", 1, 1, 1, 1)]
 
 
-def test_scratch_tables_and_settings_are_restored(spark, target):
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
+def test_scratch_tables_are_dropped(spark, target):
     upsert.upsert_table(summary(spark, ("2024-01-31", 2, 2)), target)
     with pytest.raises(ConstraintViolation):
         upsert.upsert_table(summary(spark, ("2024-01-31", 2, None)), target)
-    assert spark.conf.get(setting) == before
     assert spark.catalog.listTables("daymill_scratch") == []
 
 
+def test_a_table_that_would_lose_other_months_is_refused(spark, schema):
+    name = f"{schema}.plain"
+    spark.sql(
+        f"CREATE TABLE {name} (summary_date DATE, order_cnt BIGINT, total_amount DECIMAL(18,2), "
+        "created_at TIMESTAMP, updated_at TIMESTAMP, summary_month STRING) "
+        "USING PARQUET PARTITIONED BY (summary_month)"
+    )
+    spark.sql(f"INSERT INTO {name} VALUES (DATE '2024-03-01', 1, 1, now(), now(), '2024-03')")
+    with pytest.raises(AnalysisException, match="overwrite"):
+        upsert.upsert_table(summary(spark, ("2024-01-31", 2, 2)), name)
+    assert spark.table(name).count() == 1
+
+
 def test_many_partitions_are_matched_by_a_join(spark, target, monkeypatch):
     monkeypatch.setattr(upsert, "LISTED_PARTITIONS", 1)
     upsert.upsert_table(summary(spark, ("2024-01-30", 1, 1), ("2024-03-01", 3, 3)), target, as_of=T1)
