@@ -16,7 +16,9 @@ from daymill.functions import clock
 Moment = date | datetime | str
 
 
-def half_open(df: DataFrame, ts: str, start: Moment, end: Moment, zone: str | None = None) -> DataFrame:
+def half_open(
+    df: DataFrame, ts: str, start: Moment, end: Moment, zone: str | None = None
+) -> DataFrame:
     """Rows in ``[start, end)``."""
     return df.where(
         (F.col(ts) >= clock.bound_literal(df, ts, start, zone))
@@ -24,7 +26,9 @@ def half_open(df: DataFrame, ts: str, start: Moment, end: Moment, zone: str | No
     )
 
 
-def point_window(df: DataFrame, ts: str, logical_date: Moment, zone: str | None = None) -> DataFrame:
+def point_window(
+    df: DataFrame, ts: str, logical_date: Moment, zone: str | None = None
+) -> DataFrame:
     """Rows of the day before a run: ``[logical_date - 1 day, logical_date)``."""
     end = clock.wall_time(logical_date, zone)
     return half_open(df, ts, end - timedelta(days=1), end, zone)

@@ -53,9 +53,14 @@ def merge_rows(
     """The target after the upsert. ``source`` must hold each key once."""
     now = as_of_column(as_of)
     touched, known = F.col("in_source").isNotNull(), F.col("in_target").isNotNull()
+
+    def latest(measure: str) -> Column:
+        new, old = F.col(f"new.{measure}"), F.col(f"old.{measure}")
+        return F.when(touched, new).otherwise(old).alias(measure)
+
     return _matched(target, source, key).select(
         key,
-        *(F.when(touched, F.col(f"new.{m}")).otherwise(F.col(f"old.{m}")).alias(m) for m in measures),
+        *map(latest, measures),
         F.when(known, F.col("old.created_at")).otherwise(now).alias("created_at"),
         F.when(touched, now).otherwise(F.col("old.updated_at")).alias("updated_at"),
     )

@@ -7,6 +7,9 @@ DAILY = """
     CAST(SUM(CAST({amount} AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_amount
 """
 EVENTS_DAILY = DAILY.format(ts="ts", amount="value")
+ALL_DAYS = f"""
+    SELECT {EVENTS_DAILY} FROM events WHERE ts IS NOT NULL GROUP BY CAST(ts AS DATE)
+"""
 ORDERS_DAILY = DAILY.format(ts="o_orderdate", amount="o_totalprice")
 
 # Every midnight from the first to the last day of the events.
@@ -204,7 +207,7 @@ ORACLES = {
             WHERE o_orderpriority = '1-URGENT' AND date_trunc('day', o_orderdate) = tick
         )
     """,
-    "e1_daily_summary": f"SELECT {EVENTS_DAILY} FROM events WHERE ts IS NOT NULL GROUP BY CAST(ts AS DATE)",
+    "e1_daily_summary": ALL_DAYS,
     "e1_zoned_daily_summary": f"""
         SELECT {DAILY.format(ts="ts + INTERVAL 9 HOUR", amount="value")}
         FROM events WHERE ts IS NOT NULL GROUP BY CAST(ts + INTERVAL 9 HOUR AS DATE)
@@ -270,5 +273,5 @@ ORACLES = {
     "j5_summary_load_from_file": f"""
         SELECT {EVENTS_DAILY} FROM events WHERE {RUN_BOUNDS} GROUP BY CAST(ts AS DATE)
     """,
-    "k1_incremental_daily_summary": f"SELECT {EVENTS_DAILY} FROM events WHERE ts IS NOT NULL GROUP BY CAST(ts AS DATE)",
+    "k1_incremental_daily_summary": ALL_DAYS,
 }

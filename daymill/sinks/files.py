@@ -54,9 +54,12 @@ def publish(df: DataFrame, uri: str, file_format: str = "parquet", replace: bool
     return uri
 
 
-def copy_dataset(spark: SparkSession, source: str, target: str, file_format: str = "parquet") -> str:
+def copy_dataset(
+    spark: SparkSession, source: str, target: str, file_format: str = "parquet"
+) -> str:
     """Copy a dataset row by row, replacing the target. ``text`` keeps lines as they are."""
-    spark.read.format(file_format).load(source).write.format(file_format).mode("overwrite").save(target)
+    rows = spark.read.format(file_format).load(source)
+    rows.write.format(file_format).mode("overwrite").save(target)
     return target
 
 

@@ -55,7 +55,8 @@ def split_evenly(
     spark: SparkSession, url: str, query: str, column: str, parts: int, **options
 ) -> Split:
     """Ranges of ``column`` from its lowest to its highest value, as the database knows them."""
-    ends = f"SELECT min({column}) AS low, max({column}) AS high FROM ({query.strip().rstrip(';')}) q"
+    query = query.strip().rstrip(";")
+    ends = f"SELECT min({column}) AS low, max({column}) AS high FROM ({query}) q"
     low, high = read_query(spark, url, ends, **options).first()
     return Split(column, 0 if low is None else low, 0 if high is None else high, parts)
 

@@ -50,10 +50,12 @@ def current_schema(spark: SparkSession, name: str) -> Iterator[None]:
 def literal_rows(spark: SparkSession, schema: str, rows: Sequence[Sequence]) -> DataFrame:
     """A ``VALUES`` list, kept in the plan itself. ``schema`` is a DDL string."""
     fields = StructType.fromDDL(schema).fields
-    structs = [
-        F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields, strict=True)))
-        for row in rows
-    ]
+
+    def struct(row: Sequence) -> Column:
+        pairs = zip(row, fields, strict=True)
+        return F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in pairs))
+
+    structs = [struct(row) for row in rows]
     if not structs:
         return spark.createDataFrame([], schema)
     return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
