@@ -22,15 +22,20 @@ BROADCAST_PIECES = 500_000
 
 @dataclass(frozen=True)
 class Extent:
-    """What a calendar covers, and how many day pieces it has."""
+    """What a calendar covers, how many day pieces it has, and whether all are whole days."""
 
     first: datetime
     last: datetime
     pieces: int
+    whole_days: bool
 
 
-def _last_moment(interval_end: str = "interval_end") -> Column:
-    return F.col(interval_end) - F.expr(clock.MICROSECOND)
+def _last_moment() -> Column:
+    return F.col("interval_end") - F.expr(clock.MICROSECOND)
+
+
+def _at_midnight(name: str) -> Column:
+    return F.col(name) == clock.day_start(F.col(name))
 
 
 def calendar_extent(calendar: DataFrame) -> Extent | None:
@@ -42,6 +47,9 @@ def calendar_extent(calendar: DataFrame) -> Extent | None:
             F.min("interval_start").alias("first"),
             F.max("interval_end").alias("last"),
             F.sum(days).alias("pieces"),
+            F.bool_and(_at_midnight("interval_start") & _at_midnight("interval_end")).alias(
+                "whole_days"
+            ),
         )
         .first()
     )

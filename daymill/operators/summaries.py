@@ -15,6 +15,7 @@ from daymill.operators.intervals import (
 )
 
 MONEY = "decimal(18,2)"
+INTERVAL = ("interval_start", "interval_end")
 
 # Tasks a heavy day is spread over when the calendar is too large to broadcast.
 DAY_SLOTS = 32
@@ -81,16 +82,24 @@ def interval_summary(
 ) -> DataFrame:
     """The daily summary of every interval of a calendar, in one job.
 
-    Rows carry ``interval_start``, as overlapping intervals report the same
-    date. Facts are counted before they are shuffled, so a date that holds
-    most of the rows is no heavier than another.
+    Rows carry their interval, as overlapping intervals report the same date.
+    Facts are counted before they are shuffled, so a date that holds most of
+    the rows is no heavier than another.
     """
     facts = facts.select(ts, amount)
+    calendar = calendar.select(*INTERVAL).distinct()
     extent = calendar_extent(calendar)
+    if extent is not None and extent.whole_days:
+        # A day is in an interval as a whole or not at all: count days, then join those.
+        daily = daily_summary(facts, ts, amount, extent.first, extent.last, zone)
+        pieces = day_pieces(calendar).withColumnRenamed("day", "summary_date")
+        return daily.join(pieces, "summary_date").select(
+            *INTERVAL, "summary_date", "order_cnt", "total_amount"
+        )
     if extent is None or extent.pieces <= broadcast_pieces:
         joined = interval_join(facts, calendar, ts, zone, extent)
         day = F.to_date(clock.wall_clock(facts, ts, zone))
-        return joined.groupBy("interval_start", day.alias("summary_date")).agg(*_totals(amount))
+        return joined.groupBy(*INTERVAL, day.alias("summary_date")).agg(*_totals(amount))
 
     # Copies of a moment collapse first; what is left of a heavy day then
     # differs in its moments, whose hash spreads it over the slots.
@@ -102,14 +111,14 @@ def interval_summary(
         .withColumn("slot", F.pmod(F.xxhash64("moment"), F.lit(DAY_SLOTS)).cast("int"))
     )
     slots = F.explode(F.sequence(F.lit(0), F.lit(DAY_SLOTS - 1))).alias("slot")
-    pieces = day_pieces(calendar.select("interval_start", "interval_end")).select("*", slots)
+    pieces = day_pieces(calendar).select("*", slots)
     inside = (F.col("moment") >= F.col("interval_start")) & (
         F.col("moment") < F.col("interval_end")
     )
     return (
         moments.join(pieces, ["day", "slot"])
         .where(inside)
-        .groupBy("interval_start", F.col("day").alias("summary_date"))
+        .groupBy(*INTERVAL, F.col("day").alias("summary_date"))
         .agg(
             F.sum("rows").alias("order_cnt"),
             F.sum("money").cast(MONEY).alias("total_amount"),
@@ -122,7 +131,8 @@ def last_interval_wins(summary: DataFrame) -> DataFrame:
 
     A later interval replaces what an earlier one reported; nothing is added up.
     """
+    order = F.struct(*INTERVAL)
     return summary.groupBy("summary_date").agg(
-        F.max_by("order_cnt", "interval_start").alias("order_cnt"),
-        F.max_by("total_amount", "interval_start").alias("total_amount"),
+        F.max_by("order_cnt", order).alias("order_cnt"),
+        F.max_by("total_amount", order).alias("total_amount"),
     )

@@ -60,9 +60,9 @@ BUSINESS_POINT = f"""
 
 def interval_summary(calendar: str) -> str:
     return f"""
-        SELECT interval_start, {EVENTS_DAILY}
+        SELECT interval_start, interval_end, {EVENTS_DAILY}
         FROM events JOIN ({calendar}) c ON ts >= interval_start AND ts < interval_end
-        GROUP BY interval_start, CAST(ts AS DATE)
+        GROUP BY interval_start, interval_end, CAST(ts AS DATE)
     """
 
 

@@ -120,11 +120,11 @@ def brute_force(rows, spans):
     for start, end in spans:
         for ts, amount in rows:
             if start <= ts < end:
-                cell = out[start, ts.date()]
+                cell = out[start, end, ts.date()]
                 cell[0] += 1
                 if amount is not None:
                     cell[1] = (cell[1] or 0) + amount
-    return sorted((s, d, n, a) for (s, d), (n, a) in out.items())
+    return sorted((s, e, d, n, a) for (s, e, d), (n, a) in out.items())
 
 
 @pytest.fixture
@@ -142,15 +142,36 @@ def overlapping(spark):
     return rows, spark.createDataFrame(rows, "interval_start TIMESTAMP_NTZ, interval_end TIMESTAMP_NTZ")
 
 
+SUMMARY_TYPES = {
+    "interval_start": "timestamp_ntz",
+    "interval_end": "timestamp_ntz",
+    "summary_date": "date",
+    "order_cnt": "bigint",
+    "total_amount": "decimal(18,2)",
+}
+
+
 @pytest.mark.parametrize("limit", [intervals.BROADCAST_PIECES, 3])
 def test_interval_summary_equals_brute_force(spark, overlapping, limit):
     rows, facts = random_facts(spark)
     spans, calendar = overlapping
+    assert not intervals.calendar_extent(calendar).whole_days
     got = summaries.interval_summary(facts, calendar, broadcast_pieces=limit)
     assert sorted(tuple(r) for r in got.collect()) == brute_force(rows, spans)
-    assert dict(got.dtypes) == {
-        "interval_start": "timestamp_ntz", "summary_date": "date", "order_cnt": "bigint", "total_amount": "decimal(18,2)",
-    }
+    assert dict(got.dtypes) == SUMMARY_TYPES
+
+
+def test_whole_days_equal_brute_force(spark, overlapping):
+    """Intervals that overlap, share their start, and are listed twice."""
+    rows, facts = random_facts(spark)
+    spans = [(s, e) for s, e in (
+        (datetime(2024, 1, a), datetime(2024, 1, b)) for a in range(1, 21) for b in range(a, 22, 3)
+    )]
+    calendar = spark.createDataFrame(spans * 2, overlapping[1].schema)
+    assert intervals.calendar_extent(calendar).whole_days
+    got = summaries.interval_summary(facts, calendar)
+    assert sorted(tuple(r) for r in got.collect()) == brute_force(rows, spans)
+    assert dict(got.dtypes) == SUMMARY_TYPES
 
 
 @pytest.mark.parametrize("limit", [intervals.BROADCAST_PIECES, 3])
@@ -173,10 +194,14 @@ def test_interval_join_of_an_empty_calendar(spark, orders, overlapping):
 def test_intervals_over_instants(spark, any_session_zone):
     instants = [datetime(2024, 1, 1, h, tzinfo=timezone.utc) for h in (14, 15, 16)]
     facts = spark.createDataFrame([(i, 1.0) for i in instants], "order_dt TIMESTAMP, amount DOUBLE")
-    calendar = C.daily_calendar(C.fixed_bounds(spark, date(2024, 1, 2), date(2024, 1, 2)))
-    for limit in (10, 0):
-        got = summaries.interval_summary(facts, calendar, zone="Asia/Seoul", broadcast_pieces=limit)
-        assert tuples(got) == [(datetime(2024, 1, 2), date(2024, 1, 2), 2, Decimal("2.00"))]
+    day = C.daily_calendar(C.fixed_bounds(spark, date(2024, 1, 2), date(2024, 1, 2)))
+    longer = day.withColumn("interval_end", F.expr("interval_end + INTERVAL 1 HOUR"))
+    for calendar in (day, longer):
+        for limit in (10, 0):
+            got = summaries.interval_summary(facts, calendar, zone="Asia/Seoul", broadcast_pieces=limit)
+            assert tuples(got.drop("interval_end")) == [
+                (datetime(2024, 1, 2), date(2024, 1, 2), 2, Decimal("2.00"))
+            ]
 
 
 def test_backfill_equals_its_daily_runs(spark):
@@ -191,14 +216,14 @@ def test_backfill_equals_its_daily_runs(spark):
 
 
 def test_last_interval_wins(spark):
+    first, second, third = (datetime(2024, 1, d) for d in (1, 2, 3))
     rows = [
-        (datetime(2024, 1, 1), date(2024, 1, 2), 5, Decimal("5.00")),
-        (datetime(2024, 1, 2), date(2024, 1, 2), 1, None),
-        (datetime(2024, 1, 1), date(2024, 1, 1), 3, Decimal("1.00")),
+        (first, third, second.date(), 5, Decimal("5.00")),
+        (second, third, second.date(), 1, None),
+        (first, second, first.date(), 2, Decimal("9.00")),
+        (first, third, first.date(), 3, Decimal("1.00")),
     ]
-    summary = spark.createDataFrame(
-        rows, "interval_start TIMESTAMP_NTZ, summary_date DATE, order_cnt BIGINT, total_amount DECIMAL(18,2)"
-    )
+    summary = spark.createDataFrame(rows, ", ".join(f"{n} {t}" for n, t in SUMMARY_TYPES.items()))
     assert days(summaries.last_interval_wins(summary)) == {
         date(2024, 1, 1): (3, Decimal("1.00")), date(2024, 1, 2): (1, None),
     }
@@ -219,20 +244,63 @@ def test_bounds_reach_the_scan(stored):
     assert "ReadSchema: struct<order_dt:timestamp_ntz,amount:decimal(18,2)>" in plan
 
 
-def test_interval_plan_broadcasts_within_the_limit_only(spark, stored):
+@pytest.fixture
+def no_automatic_broadcast(spark):
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    yield
+    spark.conf.set(setting, before)
+
+
+def half_days(spark):
+    """The weekday calendar, moved to noon."""
+    calendar = C.cron_interval_calendar(C.fixed_bounds(spark, *JAN), range(2, 7))
+    return calendar.select(*((F.col(c) + F.expr("INTERVAL 12 HOUR")).alias(c) for c in C.COLUMNS))
+
+
+def test_whole_days_are_counted_before_the_join(spark, stored, no_automatic_broadcast):
     calendar = C.cron_interval_calendar(C.fixed_bounds(spark, *JAN), range(2, 7))
-    within = plan_of(summaries.interval_summary(stored, calendar))
-    assert "BroadcastHashJoin" in within and "NestedLoop" not in within
-    assert within.count("Exchange hashpartitioning") == 1
-    assert "GreaterThanOrEqual(order_dt,2024-01-02T00:00)" in within
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plan_of(summaries.interval_summary(stored, calendar))
+    join, counted = plan.index("SortMergeJoin"), plan.index("partial_count")
+    assert join < counted and "NestedLoop" not in plan
+    assert "GreaterThanOrEqual(order_dt,2024-01-02T00:00)" in plan
+
+
+def test_small_calendars_are_broadcast(spark, stored, no_automatic_broadcast):
+    plan = plan_of(summaries.interval_summary(stored, half_days(spark)))
+    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "SortMergeJoin" not in plan
+    assert plan.index("partial_count") < plan.index("BroadcastHashJoin")
+    assert "GreaterThanOrEqual(order_dt,2024-01-02T12:00)" in plan
+
+
+def test_large_calendars_are_not(spark, stored, no_automatic_broadcast):
+    for beyond in (
+        summaries.interval_summary(stored, half_days(spark), broadcast_pieces=5),
+        intervals.interval_join(stored, half_days(spark), "order_dt", broadcast_pieces=5),
+    ):
+        plan = plan_of(beyond)
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan and "NestedLoop" not in plan
+
+
+def test_heavy_days_of_a_large_calendar_are_split(spark, no_automatic_broadcast):
+    """Copies of one moment make up a third of the rows of the shuffled join."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        for beyond in (
-            summaries.interval_summary(stored, calendar, broadcast_pieces=5),
-            intervals.interval_join(stored, calendar, "order_dt", broadcast_pieces=5),
-        ):
-            plan = plan_of(beyond)
-            assert "SortMergeJoin" in plan and "Broadcast" not in plan and "NestedLoop" not in plan
+        facts = spark.range(60_000, numPartitions=8).selectExpr(
+            "id",
+            "TIMESTAMP_NTZ '2024-01-10 13:00:00' + make_dt_interval(IF(id % 3 = 0, 0, CAST(id % 15 AS INT))) AS order_dt",
+        )
+        joined = intervals.interval_join(facts, half_days(spark), "order_dt", broadcast_pieces=5)
+        assert len(joined.collect()) == 60_000
+        assert "SortMergeJoin(skew=true)" in plan_of(joined)
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name, value in before.items():
+            spark.conf.set(name, value)
