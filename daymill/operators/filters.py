@@ -5,8 +5,10 @@ Each keeps the column bare on one side, so that the bounds reach the file scan.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date, datetime, time, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,10 +22,19 @@ def half_open(
     df: DataFrame, ts: str, start: Moment, end: Moment, zone: str | None = None
 ) -> DataFrame:
     """Rows in ``[start, end)``."""
-    return df.where(
+    return within_any(df, ts, [(start, end)], zone)
+
+
+def within_any(
+    df: DataFrame, ts: str, ranges: Sequence[tuple[Moment, Moment]], zone: str | None = None
+) -> DataFrame:
+    """Rows in any of several ``[start, end)``, of which there must be one at least."""
+    inside = [
         (F.col(ts) >= clock.bound_literal(df, ts, start, zone))
         & (F.col(ts) < clock.bound_literal(df, ts, end, zone))
-    )
+        for start, end in ranges
+    ]
+    return df.where(reduce(or_, inside))
 
 
 def point_window(

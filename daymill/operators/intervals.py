@@ -7,25 +7,40 @@ the day and checks the range only within it.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymill.functions import clock
-from daymill.operators.filters import half_open
+from daymill.operators.filters import within_any
 
 # A day piece takes some tens of bytes, so this many fit in any executor.
 BROADCAST_PIECES = 500_000
 
 
+# Of a calendar with no more intervals than this, the gaps are looked at.
+LISTED_INTERVALS = 10_000
+
+# Gaps shorter than this are not worth leaving out of a scan, nor are too many.
+WORTHWHILE_GAP = timedelta(days=7)
+MAX_RANGES = 16
+
+Range = tuple[datetime, datetime]
+
+
 @dataclass(frozen=True)
 class Extent:
-    """What a calendar covers, how many day pieces it has, and whether all are whole days."""
+    """How much a calendar covers.
+
+    ``ranges`` hold all its intervals, ``pieces`` is the number of their days,
+    and ``whole_days`` tells whether all start and end at midnight.
+    """
 
-    first: datetime
-    last: datetime
+    ranges: tuple[Range, ...]
     pieces: int
     whole_days: bool
 
@@ -38,22 +53,51 @@ def _at_midnight(name: str) -> Column:
     return F.col(name) == clock.day_start(F.col(name))
 
 
+def covering_ranges(intervals: Iterable[Range]) -> tuple[Range, ...]:
+    """Few ranges that hold all intervals and leave out the widest gaps between them."""
+    merged: list[Range] = []
+    for start, end in sorted(intervals):
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+        else:
+            merged.append((start, end))
+    gaps = [(after[0] - before[1], after[0]) for before, after in pairwise(merged)]
+    widest = sorted((g for g in gaps if g[0] >= WORTHWHILE_GAP), reverse=True)[: MAX_RANGES - 1]
+    cuts = {start for _, start in widest}
+    ranges: list[Range] = []
+    for start, end in merged:
+        if not ranges or start in cuts:
+            ranges.append((start, end))
+        else:
+            ranges[-1] = (ranges[-1][0], end)
+    return tuple(ranges)
+
+
 def calendar_extent(calendar: DataFrame) -> Extent | None:
-    """Measure a calendar, in one row; ``None`` if it has no interval."""
+    """Measure a calendar; ``None`` if it has no interval.
+
+    A calendar too long to list is measured in one row, without its gaps.
+    """
     days = F.datediff(F.to_date(_last_moment()), F.to_date("interval_start")) + 1
-    row = (
-        calendar.where("interval_start < interval_end")
-        .agg(
-            F.min("interval_start").alias("first"),
-            F.max("interval_end").alias("last"),
-            F.sum(days).alias("pieces"),
-            F.bool_and(_at_midnight("interval_start") & _at_midnight("interval_end")).alias(
-                "whole_days"
-            ),
-        )
-        .first()
+    measured = calendar.where("interval_start < interval_end").select(
+        "interval_start",
+        "interval_end",
+        days.alias("days"),
+        (_at_midnight("interval_start") & _at_midnight("interval_end")).alias("whole"),
     )
-    return Extent(**row.asDict()) if row["pieces"] else None
+    listed = measured.limit(LISTED_INTERVALS + 1).collect()
+    if not listed:
+        return None
+    if len(listed) <= LISTED_INTERVALS:
+        return Extent(
+            covering_ranges((r.interval_start, r.interval_end) for r in listed),
+            sum(r.days for r in listed),
+            all(r.whole for r in listed),
+        )
+    start, end, pieces, whole = measured.agg(
+        F.min("interval_start"), F.max("interval_end"), F.sum("days"), F.bool_and("whole")
+    ).first()
+    return Extent(((start, end),), pieces, whole)
 
 
 def day_pieces(calendar: DataFrame) -> DataFrame:
@@ -83,7 +127,7 @@ def interval_join(
     if extent is None:
         facts = facts.where(F.lit(False))
     else:
-        facts = half_open(facts, ts, extent.first, extent.last, zone)
+        facts = within_any(facts, ts, extent.ranges, zone)
         if extent.pieces <= broadcast_pieces:
             pieces = F.broadcast(pieces)
     wall = clock.wall_clock(facts, ts, zone)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymill.functions import clock
-from daymill.operators.filters import Moment, half_open
+from daymill.operators.filters import Moment, half_open, within_any
 from daymill.operators.intervals import (
     BROADCAST_PIECES,
     calendar_extent,
@@ -91,7 +91,7 @@ def interval_summary(
     extent = calendar_extent(calendar)
     if extent is not None and extent.whole_days:
         # A day is in an interval as a whole or not at all: count days, then join those.
-        daily = daily_summary(facts, ts, amount, extent.first, extent.last, zone)
+        daily = daily_summary(within_any(facts, ts, extent.ranges, zone), ts, amount, zone=zone)
         pieces = day_pieces(calendar).withColumnRenamed("day", "summary_date")
         return daily.join(pieces, "summary_date").select(
             *INTERVAL, "summary_date", "order_cnt", "total_amount"
@@ -103,7 +103,7 @@ def interval_summary(
 
     # Copies of a moment collapse first; what is left of a heavy day then
     # differs in its moments, whose hash spreads it over the slots.
-    facts = half_open(facts, ts, extent.first, extent.last, zone)
+    facts = within_any(facts, ts, extent.ranges, zone)
     moments = (
         facts.groupBy(clock.wall_clock(facts, ts, zone).alias("moment"))
         .agg(F.count("*").alias("rows"), F.sum(F.col(amount).cast(MONEY)).alias("money"))

@@ -15,7 +15,7 @@ CSV_OPTIONS = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX",
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]xxx",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
 }
 FORMATS = ("csv", "parquet")

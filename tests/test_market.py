@@ -89,6 +89,10 @@ def test_feed_into_files_by_date(spark, feed, tmp_path):
     points = [[MS, 1], [MS + day, 2]]
     path = str(tmp_path / "out")
     loads.load_market_feed(feed(payload(points, points, points)), path)
+    (part,) = (tmp_path / "out" / "run_date=2026-01-19").glob("*.csv")
+    assert part.read_text().splitlines() == [
+        "datetime,price,volume,market_cap", "2026-01-19 00:00:00.123000+00:00,1.0,1.0,1.0",
+    ]
     back = files.read_csv(spark, path, "datetime TIMESTAMP, price DOUBLE, volume DOUBLE, market_cap DOUBLE, run_date DATE")
     assert [(str(r.run_date), r.price) for r in back.orderBy("price").collect()] == [("2026-01-19", 1.0), ("2026-01-20", 2.0)]
     assert back.select(F.min(clock.instant_to_wall("datetime"))).first()[0] == datetime(2026, 1, 19, 0, 0, 0, 123000)

@@ -183,6 +183,45 @@ def test_interval_join_equals_brute_force(spark, overlapping, limit):
     assert Counter(tuple(r) for r in got.collect()) == Counter(wanted)
 
 
+def test_covering_ranges():
+    def day(n):
+        return datetime(2024, 1, 1) + timedelta(days=n)
+
+    spans = [(day(30), day(31)), (day(0), day(1)), (day(1), day(3)), (day(0), day(2)), (day(6), day(7))]
+    assert intervals.covering_ranges(spans) == ((day(0), day(7)), (day(30), day(31)))
+    many = [(day(n), day(n + 1)) for k in range(40) for n in (k * 100 + k,)]
+    ranges = intervals.covering_ranges(many)
+    assert len(ranges) == intervals.MAX_RANGES
+    assert all(any(a <= s and e <= b for a, b in ranges) for s, e in many)
+    assert ranges[0][0] == day(0) and ranges[-1][1] == many[-1][1]
+
+
+def test_long_gaps_are_not_scanned(spark, stored):
+    rows = [(datetime(2024, 1, 2), datetime(2024, 1, 3)), (datetime(2024, 1, 15), datetime(2024, 1, 16))]
+    calendar = spark.createDataFrame(rows, "interval_start TIMESTAMP_NTZ, interval_end TIMESTAMP_NTZ")
+    summary = summaries.interval_summary(stored, calendar)
+    assert (
+        "Or(And(GreaterThanOrEqual(order_dt,2024-01-02T00:00),LessThan(order_dt,2024-01-03T00:00)),"
+        "And(GreaterThanOrEqual(order_dt,2024-01-15T00:00),LessThan(order_dt,2024-01-16T00:00)))"
+    ) in plan_of(summary)
+    wanted = {
+        r.summary_date: (r.order_cnt, r.total_amount)
+        for r in summaries.daily_summary(stored).collect() if r.summary_date.day in (2, 15)
+    }
+    assert days(summary) == wanted and len(wanted) == 2
+
+
+def test_calendars_too_long_to_list(spark, overlapping, monkeypatch):
+    listed = intervals.calendar_extent(overlapping[1])
+    monkeypatch.setattr(intervals, "LISTED_INTERVALS", 2)
+    measured = intervals.calendar_extent(overlapping[1])
+    assert (measured.pieces, measured.whole_days) == (listed.pieces, listed.whole_days)
+    assert measured.ranges == ((datetime(2024, 1, 2), datetime(2030, 1, 2)),)
+    assert listed.ranges == (
+        (datetime(2024, 1, 2), datetime(2024, 1, 11)), (datetime(2030, 1, 1), datetime(2030, 1, 2)),
+    )
+
+
 def test_interval_join_of_an_empty_calendar(spark, orders, overlapping):
     facts = orders(("2024-01-02 01:00:00", 1))
     nothing = overlapping[1].where("false")
