@@ -37,12 +37,14 @@ class Extent:
     """How much a calendar covers.
 
     ``ranges`` hold all its intervals, ``pieces`` is the number of their days,
-    and ``whole_days`` tells whether all start and end at midnight.
+    ``whole_days`` tells whether all start and end at midnight, and ``repeats``
+    whether one may be listed twice.
     """
 
     ranges: tuple[Range, ...]
     pieces: int
     whole_days: bool
+    repeats: bool
 
 
 def _last_moment() -> Column:
@@ -89,15 +91,17 @@ def calendar_extent(calendar: DataFrame) -> Extent | None:
     if not listed:
         return None
     if len(listed) <= LISTED_INTERVALS:
+        intervals = {(r.interval_start, r.interval_end) for r in listed}
         return Extent(
-            covering_ranges((r.interval_start, r.interval_end) for r in listed),
+            covering_ranges(intervals),
             sum(r.days for r in listed),
             all(r.whole for r in listed),
+            len(intervals) < len(listed),
         )
     start, end, pieces, whole = measured.agg(
         F.min("interval_start"), F.max("interval_end"), F.sum("days"), F.bool_and("whole")
     ).first()
-    return Extent(((start, end),), pieces, whole)
+    return Extent(((start, end),), pieces, whole, True)
 
 
 def day_pieces(calendar: DataFrame) -> DataFrame:

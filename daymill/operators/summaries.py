@@ -87,8 +87,10 @@ def interval_summary(
     the rows is no heavier than another.
     """
     facts = facts.select(ts, amount)
-    calendar = calendar.select(*INTERVAL).distinct()
+    calendar = calendar.select(*INTERVAL)
     extent = calendar_extent(calendar)
+    if extent is not None and extent.repeats:
+        calendar = calendar.distinct()
     if extent is not None and extent.whole_days:
         # A day is in an interval as a whole or not at all: count days, then join those.
         daily = daily_summary(within_any(facts, ts, extent.ranges, zone), ts, amount, zone=zone)
