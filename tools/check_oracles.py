@@ -18,6 +18,10 @@ from daymill.oracles import ORACLES  # noqa: E402
 from daymill.session import build_session  # noqa: E402
 
 
+# Steps that compare every pair of rows, or leave the JVM.
+UNWANTED = ("CartesianProduct", "NestedLoopJoin", "Python", "InPandas")
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in Path(sf_dir).glob("*.parquet"):
@@ -31,9 +35,13 @@ def sorted_rows(columns: list[str], rows: list) -> list[tuple]:
 
 
 def compare(spark, con, name: str, sf_dir: str) -> str:
-    """Empty if equal, else what differs."""
+    """Empty if equal, else what differs, or what the plan should not have."""
     frame = QUERIES[name](spark, sf_dir)
     got = frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for step in UNWANTED:
+        if step in plan:
+            return f"plan has {step}"
     if name not in ORACLES:
         return "" if got else "no rows"
     cursor = con.execute(ORACLES[name])
