@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
@@ -63,3 +63,14 @@ def test_small_batches_give_the_same_table(spark, schema, arrivals):
         arrivals.add((f"2024-01-0{number} 10:00:00", number), ("2024-01-01 11:00:00", number))
     arrivals.run(table, max_files=1)
     assert totals(spark, table) == tuples(daily_summary(spark.read.parquet(arrivals.path)))
+
+
+def test_instants_go_to_their_local_day(spark, schema, tmp_path):
+    source, table = str(tmp_path / "in"), f"{schema}.s"
+    instants = [datetime(2024, 1, 1, h, tzinfo=timezone.utc) for h in (14, 15, 16)]
+    facts = spark.createDataFrame([(i, Decimal(1)) for i in instants], "order_dt TIMESTAMP, amount DECIMAL(18,2)")
+    facts.coalesce(1).write.parquet(source)
+    run_incremental_summary(
+        spark, source, facts.schema, table, str(tmp_path / "offsets"), zone="Asia/Seoul"
+    )
+    assert totals(spark, table) == [(date(2024, 1, 1), 1, Decimal(1)), (date(2024, 1, 2), 2, Decimal(2))]
