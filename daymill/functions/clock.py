@@ -125,15 +125,16 @@ def run_date_strings(wall: Column | str, zone: str = "UTC") -> list[Column]:
     wall = F.col(wall) if isinstance(wall, str) else wall
     in_utc = wall if zone == "UTC" else shift_zone(wall, zone, "UTC")
     text = F.replace(in_utc.cast("string"), F.lit(" "), F.lit("T"))
-    seconds = F.substring(text, 1, 19)
+    day, seconds = F.substring(text, 1, 10), F.substring(text, 1, 19)
+    bare_day, bare_seconds = (F.replace(t, F.lit("-"), F.lit("")) for t in (day, seconds))
     fraction = F.when(
         F.length(text) > 19, F.concat(F.lit("."), F.rpad(F.substring(text, 21, 6), 6, "0"))
     ).otherwise("")
     return [
-        dashed_day(in_utc).alias("ds"),
-        compact_day(in_utc).alias("ds_nodash"),
+        day.alias("ds"),
+        bare_day.alias("ds_nodash"),
         F.concat(seconds, fraction, F.lit("+00:00")).alias("ts"),
-        F.translate(seconds, "-:", "").alias("ts_nodash"),
+        F.replace(bare_seconds, F.lit(":"), F.lit("")).alias("ts_nodash"),
     ]
 
 

@@ -31,6 +31,14 @@ def test_recreate_users_drops_earlier_rows(spark, schema):
     assert spark.table(name).count() == 0
 
 
+def test_ids_follow_the_rows_as_they_come(spark, schema):
+    name = f"{schema}.users"
+    tables.recreate_users(spark, name)
+    tables.insert_users(tables.sample_users(spark), name)
+    got = tuples(spark.table(name).select("id", "name", "age"))
+    assert got == [(i, *user) for i, user in enumerate(tables.SAMPLE_USERS, 1)]
+
+
 def test_inserts_continue_the_ids(spark, schema):
     name = f"{schema}.users"
     tables.recreate_users(spark, name)
