@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import site
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_SCHEMA = "daymill_scratch"
 
 _local_fallback: str | None = None
+_sent_to: set[str] = set()
 
 
 def build_session(app_name: str = "daymill", **conf: str) -> SparkSession:
@@ -52,6 +57,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/daymill/{name}-{uuid.uuid4().hex}"
 
 
+def importable_on_executors(spark: SparkSession) -> None:
+    """Send this library along with the application, unless it is found without that.
+
+    It is found where it is installed, on ``PYTHONPATH``, or in the folder that
+    a local application was started in.
+    """
+    root = Path(__file__).resolve().parents[1]
+    known = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), *site.getsitepackages(), os.getcwd()]
+    context = spark.sparkContext
+    if root in {Path(p).resolve() for p in known if p} or context.applicationId in _sent_to:
+        return
+    folder = tempfile.mkdtemp(prefix="daymill-")
+    archive = shutil.make_archive(f"{folder}/daymill", "zip", root, "daymill")
+    context.addPyFile(archive)
+    _sent_to.add(context.applicationId)
+
+
 @contextmanager
 def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """Write ``df`` once to a managed scratch table and drop it afterwards.
