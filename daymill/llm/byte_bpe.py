@@ -19,8 +19,9 @@ from daymill.llm.pieces import ChunkCache
 # Fixed value: the pattern that splits a text before merging, as public rank files assume it.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-# States kept before a transducer starts over, texts encoded at once, and ids decoded at once.
-MOST_STATES, TEXTS_AT_ONCE, IDS_AT_ONCE = 200_000, 500, 1 << 16
+# What is kept before starting over, texts encoded at once, and ids decoded at once.
+MOST_STATES, MOST_PAIRS, MOST_CHUNKS = 160_000, 400_000, 300_000
+TEXTS_AT_ONCE, IDS_AT_ONCE = 500, 1 << 16
 NEVER = 1 << 40
 
 
@@ -166,6 +167,8 @@ class Transducer:
     def encode(self, piece: bytes) -> list[int]:
         if len(self._states) > self.most_states:
             self._forget()
+        if len(self._fits) > MOST_PAIRS:
+            self._fits.clear()
         steps, state, ids = self._steps, 0, []
         for byte in piece:
             step = steps.get(state << 8 | byte) or self._step(state, byte)
@@ -182,7 +185,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.transducer = Transducer(ranks)
         self._split = regex.compile(PATTERN)
-        self._cache = ChunkCache(self._encode)
+        self._cache = ChunkCache(self._encode, MOST_CHUNKS)
 
     def _encode(self, chunks: Iterable[str]) -> Iterator[bytes]:
         encode, split = self.transducer.encode, self._split.findall
@@ -257,33 +260,51 @@ def encode_documents(
     return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)
 
 
-def decode_documents(encoded: DataFrame, ranks_path: str, *, digest: bool = False) -> DataFrame:
-    """``encoded`` with ``decoded``, the text of its ``ids``; null ids give null.
+def round_trip(docs: DataFrame, ranks_path: str, *, text: str = "text") -> DataFrame:
+    """``docs`` without their text, with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``.
 
-    With ``digest``, instead of text and ids, their SHA-256 in hexadecimal as
-    ``decoded_sha256`` and ``ids_sha256``.
+    Ids are made and decoded again where they are made; only digests travel.
+    Null and empty texts have no ids, and digests of nothing.
     """
-    added = ("ids_sha256", "decoded_sha256") if digest else ("decoded",)
-    kept = [c for c in encoded.columns if c not in added and not (digest and c == "ids")]
+    added = ("n_tokens", "ids_sha256", "decoded_sha256")
+    kept = [c for c in docs.columns if c not in (*added, text)]
+    types = (T.LongType(), T.StringType(), T.StringType())
+    new = [T.StructField(a, t) for a, t in zip(added, types)]
+    schema = T.StructType(docs.select(*kept).schema.fields + new)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(ranks_path)
+        decoder = StreamDecoder(encoder.transducer.ranks)
+        for whole in batches:
+            for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                batch = whole.slice(at, TEXTS_AT_ONCE)
+                texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+                ids = encoder.encode([t or "" for t in texts])
+                columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+                columns += [
+                    pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                    pa.array([_sha256(_decoded_parts(decoder, x)) for x in ids], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=[*kept, *added])
+
+    return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)
+
+
+def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """``encoded`` with ``decoded``, the text of its ``ids``; null ids give null."""
+    kept = [c for c in encoded.columns if c != "decoded"]
     fields = encoded.select(*kept).schema.fields
-    schema = T.StructType(fields + [T.StructField(a, T.StringType()) for a in added])
+    schema = T.StructType(fields + [T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = StreamDecoder(read_ranks(ranks_path))
         for batch in batches:
-            rows: list[list] = [[] for _ in added]
-            for raw in batch.column(batch.schema.get_field_index("ids")):
-                ids = raw.as_py()
-                if ids is None:
-                    values = (None,) * len(added)
-                else:
-                    parts = _decoded_parts(decoder, ids)
-                    values = (hashlib.sha256(ids).hexdigest(), _sha256(parts)) if digest else ("".join(parts),)
-                for column, value in zip(rows, values):
-                    column.append(value)
+            raw = (x.as_py() for x in batch.column(batch.schema.get_field_index("ids")))
+            texts = [x if x is None else "".join(_decoded_parts(decoder, x)) for x in raw]
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            columns += [pa.array(r, pa.string()) for r in rows]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *added])
+            columns.append(pa.array(texts, pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "decoded"])
 
     return encoded.mapInArrow(run, schema)
 

@@ -26,19 +26,35 @@ def chunks_of(text: str) -> list[str]:
     return [first, *chunks] if first else chunks
 
 
+# Marks that a split pattern keeps apart from a letter before them.
+MARKS = ".,!?;:*$%&#|"
+
+
+def letters_and_marks(chunk: str) -> tuple[str, ...]:
+    """The chunk, or its two halves if it ends with marks after a letter: they are encoded apart."""
+    letters = chunk.rstrip(MARKS)
+    if len(letters) == len(chunk) or not letters or not letters[-1].isalpha():
+        return (chunk,)
+    return letters, chunk[len(letters) :]
+
+
 class ChunkCache(dict):
     """Encodings by chunk, emptied when full, so that its memory is bounded."""
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], most: int = 600_000):
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], most: int):
         super().__init__()
         self.encode, self.most = encode, most
 
     def encoded(self, texts: list[str]) -> list[bytes]:
-        """The encoding of each text; chunks not seen before are encoded together."""
+        """The encoding of each text; parts not seen before are encoded together."""
         cut = [chunks_of(t) for t in texts]
-        new = list({c for chunks in cut for c in chunks if c not in self})
-        if len(self) + len(new) > self.most:
+        if len(self) > self.most:
             self.clear()
-            new = list({c for chunks in cut for c in chunks})
-        self.update(zip(new, self.encode(new)))
+        new = {c for chunks in cut for c in chunks if c not in self}
+        parts = {c: letters_and_marks(c) for c in new}
+        unseen = list({p for pair in parts.values() for p in pair if p not in self})
+        self.update(zip(unseen, self.encode(unseen)))
+        for chunk, pair in parts.items():
+            if len(pair) == 2:
+                self[chunk] = self[pair[0]] + self[pair[1]]
         return [b"".join(map(self.__getitem__, chunks)) for chunks in cut]

@@ -107,9 +107,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.encode_documents(docs, ranks)
-    decoded = byte_bpe.decode_documents(encoded, ranks, digest=True)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return byte_bpe.round_trip(docs, ranks)
 
 
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ import os
 import posixpath
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -40,6 +41,7 @@ SKIPPABLE_MAGIC, SEEKABLE_MAGIC, WITH_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 ENTRY, FOOTER, HEADER = struct.Struct("<III"), struct.Struct("<IBI"), struct.Struct("<II")
 
 FRAME_TOKENS, LEVEL, TEXTS_AT_ONCE = 1 << 16, 3, 500
+MOST_CHUNKS = 900_000
 # A lookup by id takes so many ids at most; beyond that all files are read and joined.
 MOST_WANTED = 100_000
 INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("n_tokens", "<u4"), ("frame", "<u4")])
@@ -154,11 +156,11 @@ class LibraryEncoder:
         self._end = struct.pack("<I", end_id)
         added = self._library.get_added_tokens_decoder().values()
         self._special = [t.content for t in added]
-        self._cache = ChunkCache(self._encode)
+        self._cache = ChunkCache(self._encode, MOST_CHUNKS)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = {i for i, t in enumerate(texts) if any(s in t for s in self._special)}
@@ -238,7 +240,7 @@ def read_token_files(manifest: DataFrame, path: str, *, keep_ids: bool = False)
     order = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.select(
         "file", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)).alias("start"), "n_docs"
-    ).repartition("file")
+    ).repartition(max(1, manifest.count()), "file")
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     schema += ", ids binary" if keep_ids else ""
 
@@ -296,5 +298,5 @@ def find_documents(manifest: DataFrame, path: str, wanted: DataFrame) -> DataFra
                         found = {"doc_id": [int(tokens.index["doc_id"][place])], "ids": [ids]}
                         yield pa.RecordBatch.from_pydict(found)
 
-    return manifest.select("file").repartition("file").mapInArrow(read, "doc_id bigint, ids binary")
+    return manifest.select("file").repartition(max(1, manifest.count()), "file").mapInArrow(read, "doc_id bigint, ids binary")
 
