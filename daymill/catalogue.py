@@ -190,6 +190,13 @@ def b1_write_csv(spark, sf_dir):
     return files.read_csv(spark, path, events.schema)
 
 
+@registered
+def b1_csv_documents(spark, sf_dir):
+    """Texts with line breaks and quotes, through CSV and back."""
+    docs = table(spark, sf_dir, "documents")
+    return files.read_csv(spark, files.write_csv(docs, scratch_path(spark, "csv")), docs.schema)
+
+
 @registered
 def b2_write_parquet(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
@@ -227,6 +234,16 @@ def b5_copy_dataset(spark, sf_dir):
     return full_scan(spark, processed)
 
 
+@registered
+def b5_copy_partitioned(spark, sf_dir):
+    """A dataset in folders whose names look like numbers, copied."""
+    events = table(spark, sf_dir, "events").select("event_id", "value", F.lpad((F.col("event_id") % 3).cast("string"), 3, "0").alias("code"))
+    source, target = scratch_path(spark, "coded"), scratch_path(spark, "copied")
+    events.write.partitionBy("code").parquet(source)
+    files.copy_dataset(spark, source, target)
+    return spark.read.schema(events.schema).parquet(target)
+
+
 @registered
 def b6_table_to_lake(spark, sf_dir):
     rows = scan_orders(spark, stage_schema(spark, sf_dir))
@@ -305,6 +322,18 @@ def b12_merge_actions(spark, sf_dir):
     return upsert.merge_actions(urgent, low)
 
 
+@registered
+def b13_extreme_values(spark, sf_dir):
+    """Values beyond any decimal, infinite, or no number are counted, not raised."""
+    kind, value = F.col("event_id") % 4, F.col("value")
+    extreme = (
+        F.when(kind == 0, value * 1e30).when(kind == 1, F.lit(float("nan")))
+        .when(kind == 2, F.lit(float("inf"))).otherwise(value)
+    )
+    events = table(spark, sf_dir, "events").select(extreme.alias("value"))
+    return constraint_report(events, numeric={"value": (18, 2)})
+
+
 @registered
 def b13_constraint_violations(spark, sf_dir):
     return constraint_report(
@@ -333,8 +362,10 @@ def c5_point_window_filter(spark, sf_dir):
 
 @registered
 def c6_request_range_filter(spark, sf_dir):
+    """One request for each day that the data has."""
     events = table(spark, sf_dir, "events").select("event_id", "ts")
-    return events.where(filters.within_request_range(F.col("ts")))
+    ends = events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    return filters.request_range(events, "ts", *ends) if ends[0] else events
 
 
 @registered
@@ -360,8 +391,8 @@ def c8_no_rows_no_summary(spark, sf_dir):
 @registered
 def d1_market_three_way_join(spark, sf_dir):
     payloads = landed_payloads(spark, sf_dir)
-    frame = market.build_coin_frame(payloads, keys=["payload_id", "event_id"])
-    return frame.drop("payload_id").withColumn("datetime", clock.instant_to_wall("datetime"))
+    frame = market.build_coin_frame(payloads, keys=["event_id"])
+    return frame.withColumn("datetime", clock.instant_to_wall("datetime"))
 
 
 @registered

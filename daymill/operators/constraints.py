@@ -22,8 +22,8 @@ def constraint_report(
     """``rule``, ``column_name`` and ``violations``, one row per constraint.
 
     ``unique`` counts the rows that repeat a key. ``numeric`` counts values too
-    large for their precision; spare decimals are rounded on storing and are no
-    violation. One scan serves all: rows are counted per key where they lie,
+    large for their precision, and those that are no number or infinite; spare
+    decimals are rounded on storing and are no violation. One scan serves all: rows are counted per key where they lie,
     then the counts are added up.
     """
     rules: dict[tuple[str, str], Column] = {}
@@ -32,8 +32,11 @@ def constraint_report(
     for name, length in (max_length or {}).items():
         rules["max_length", name] = F.char_length(name) > length
     for name, (precision, scale) in (numeric or {}).items():
-        rounded = F.round(F.abs(F.col(name).cast("decimal(38,10)")), scale)
-        rules["numeric", name] = rounded >= F.lit(f"1e{precision - scale}").cast("decimal(38,10)")
+        exact = F.col(name).try_cast("decimal(38,10)")
+        rounded = F.round(F.abs(exact), scale)
+        large = rounded >= F.lit(f"1e{precision - scale}").cast("decimal(38,10)")
+        # What no decimal can hold, like infinity, does not fit either.
+        rules["numeric", name] = F.col(name).isNotNull() & F.coalesce(large, F.lit(True))
 
     counted = {rule: f"c{i}" for i, rule in enumerate(rules)}
     counts = [F.count_if(broken).alias(counted[rule]) for rule, broken in rules.items()]

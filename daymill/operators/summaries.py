@@ -33,7 +33,9 @@ def _within(
     facts: DataFrame, ts: str, start: Moment | None, end: Moment | None, zone: str | None
 ) -> DataFrame:
     """Facts of the interval, or of all time. A row without a time is in neither."""
-    if start is None and end is None:
+    if (start is None) != (end is None):
+        raise ValueError("give both ends of an interval, or neither")
+    if start is None:
         return facts.where(F.col(ts).isNotNull())
     return half_open(facts, ts, start, end, zone)
 

@@ -97,6 +97,7 @@ ORACLES = {
     "a9_current_schema": "SELECT ts AS order_dt, value AS amount FROM events",
     "a10_first_row": "SELECT event_id, ts FROM events ORDER BY ts, event_id LIMIT 1",
     "b1_write_csv": "SELECT * FROM events",
+    "b1_csv_documents": "SELECT * REPLACE (nullif(text, '') AS text) FROM documents",
     "b2_write_parquet": "SELECT * FROM customer",
     "b3_write_dispatch": """
         SELECT c_name AS name, c_nationkey + 18 AS age, file_format
@@ -104,6 +105,9 @@ ORACLES = {
     """,
     "b4_publish_replace": "SELECT * FROM orders",
     "b5_copy_dataset": "SELECT * FROM orders",
+    "b5_copy_partitioned": """
+        SELECT event_id, value, lpad(CAST(event_id % 3 AS VARCHAR), 3, '0') AS code FROM events
+    """,
     "b6_table_to_lake": "SELECT ts AS order_dt, value AS amount FROM events",
     "b7_partitioned_by_run_date": """
         SELECT event_id,
@@ -154,6 +158,11 @@ ORACLES = {
         SELECT 'numeric', 'value', COUNT(*) FROM events
         WHERE round(abs(CAST(value AS DECIMAL(38,10))), 2) >= 100
     """,
+    "b13_extreme_values": """
+        SELECT 'numeric' AS rule, 'value' AS column_name, count(*) AS violations FROM events
+        WHERE CASE event_id % 4 WHEN 0 THEN abs(value * 1e30) >= 1e16 WHEN 3 THEN abs(value) >= 1e16
+              ELSE event_id IS NOT NULL END
+    """,
     "c4_half_open_filter": """
         SELECT event_id, ts, value FROM events
         WHERE ts >= TIMESTAMP '2024-01-05 09:00:00' AND ts < TIMESTAMP '2024-01-20 18:30:00'

@@ -29,15 +29,17 @@ def jdbc_options(
     split: Split | None = None,
     on_connect: str | None = None,
     fetch_size: int = 10_000,
+    drop_url_query: bool = False,
     **extra: str,
 ) -> dict[str, str]:
     """Reader options for a SELECT.
 
     ``on_connect`` runs once per connection, before reading. Spark splits only
-    tables, so a split query is given as a derived table.
+    tables, so a split query is given as a derived table. The URL's own
+    properties are kept unless ``drop_url_query``.
     """
     query = query.strip().rstrip(";")
-    options = {"url": clean_url(url), "fetchsize": str(fetch_size), **extra}
+    options = {"url": clean_url(url) if drop_url_query else url, "fetchsize": str(fetch_size), **extra}
     if on_connect:
         options["sessionInitStatement"] = on_connect
     if split is None:

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PAYLOAD = ", ".join(
-    f"{name} ARRAY<ARRAY<DOUBLE>>" for name in ("prices", "total_volumes", "market_caps")
-)
+from daymill.operators.market import SERIES
+
+PAYLOAD = ", ".join(f"{name} ARRAY<ARRAY<DOUBLE>>" for name in SERIES)
+
+# A payload that cannot be parsed is an error, never a row of nulls.
+STRICT = {"mode": "FAILFAST"}
 
 
 def read_payloads(
@@ -15,14 +18,15 @@ def read_payloads(
 ) -> DataFrame:
     """Payloads with their three arrays of ``[ms, value]`` pairs.
 
-    ``keys`` is the DDL of further fields. Files of one document per line are
+    A text that is no such document fails the read; what uses an array fails if
+    a document lacks it. ``keys`` is the DDL of further fields. Files of one document per line are
     split over tasks; with ``one_per_file`` a file may be written over several
     lines and is read whole.
     """
     schema = f"{keys}, {PAYLOAD}" if keys else PAYLOAD
-    return spark.read.schema(schema).json(path, multiLine=one_per_file)
+    return spark.read.schema(schema).options(**STRICT).json(path, multiLine=one_per_file)
 
 
 def parse_payload(text: Column | str) -> Column:
     """A payload from its text; fields can then be taken from the struct."""
-    return F.from_json(text, PAYLOAD)
+    return F.from_json(text, PAYLOAD, STRICT)

@@ -53,11 +53,32 @@ def test_publish(spark, rows, tmp_path):
     assert spark.read.parquet(uri).count() == 1
 
 
-def test_copy_keeps_text_lines(spark, tmp_path):
-    (tmp_path / "raw").mkdir()
-    (tmp_path / "raw" / "sample.txt").write_text("one\n\n  two ,\"x\"\n")
-    target = files.copy_dataset(spark, str(tmp_path / "raw"), str(tmp_path / "processed"), "text")
-    assert sorted(r.value for r in spark.read.text(target).collect()) == ["", '  two ,"x"', "one"]
+def test_csv_keeps_line_breaks(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a\nb"), (2, 'x "y"\n\n,z'), (3, "c")], "id BIGINT, t STRING")
+    path = files.write_csv(rows, str(tmp_path / "x"))
+    assert tuples(files.read_csv(spark, path, rows.schema), "id") == tuples(rows, "id")
+
+
+def test_csv_that_does_not_fit_is_an_error(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("id,n\n1,2\n2,many\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        files.read_csv(spark, str(tmp_path / "x.csv"), "id BIGINT, n INT").collect()
+
+
+def test_copy_is_byte_for_byte(spark, tmp_path):
+    raw = tmp_path / "raw"
+    contents = {
+        "a.csv": b'id,t\n1,"say ""hi"", x"\n2,  padded \n', "code=001/part-0.bin": bytes(range(256)),
+        "code=001/_SUCCESS": b"", "sample.txt": b"one\r\n\n two", ".hidden": b"h",
+    }
+    for name, content in contents.items():
+        (raw / name).parent.mkdir(parents=True, exist_ok=True)
+        (raw / name).write_bytes(content)
+    (tmp_path / "done").mkdir()
+    (tmp_path / "done" / "old.txt").write_text("old")
+    target = files.copy_dataset(spark, str(raw), str(tmp_path / "done"))
+    found = {str(p.relative_to(target)): p.read_bytes() for p in (tmp_path / "done").rglob("*") if p.is_file()}
+    assert found == contents
 
 
 def test_run_dates_are_replaced_one_by_one(spark, tmp_path):

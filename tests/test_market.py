@@ -2,7 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import tuples
+from conftest import plan_of, tuples
 from pyspark.sql import functions as F
 
 from daymill.functions import clock
@@ -63,7 +63,32 @@ def test_payloads_are_kept_apart_by_key(feed):
     assert sorted((r.coin, r.price, r.volume) for r in frame.collect()) == [
         (f"c{i}", float(i), float(i)) for i in range(3)
     ]
-    assert build_coin_frame(feed(*texts)).count() == 27
+    apart = build_coin_frame(feed(*texts))
+    assert sorted((r.price, r.volume, r.market_cap) for r in apart.collect()) == [(float(i),) * 3 for i in range(3)]
+
+
+@pytest.mark.parametrize("text", [
+    '{"prices": [[1, 2]], "total_volumes": [[1', '{"prices": [[1, 2]], "market_caps": [[1, 2]]}',
+    '{"status": {"error_code": 429}}',
+])
+def test_bad_payloads_are_errors(spark, feed, text):
+    sound = payload([[MS, 1]], [[MS, 2]], [[MS, 3]])
+    with pytest.raises(Exception, match="MALFORMED|Malformed|payload without"):
+        build_coin_frame(feed(sound, text)).collect()
+    body = spark.createDataFrame([(sound,), (text,)], "body STRING")
+    with pytest.raises(Exception, match="MALFORMED|Malformed|payload without"):
+        build_coin_frame(body.select(market_json.parse_payload("body").alias("p")).select("p.*")).collect()
+
+
+def test_join_needs_one_scan_and_no_shuffle(feed):
+    plan = plan_of(build_coin_frame(feed(payload([[MS, 1]], [[MS, 2]], [[MS, 3]]))))
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Join" not in plan
+
+
+def test_long_payloads_in_any_order(feed):
+    points = [[MS + 1000 * i, i] for i in range(3000)]
+    frame = build_coin_frame(feed(payload(points[::-1], points[::2], points[::3])))
+    assert sorted(r.price for r in frame.collect()) == [float(i) for i in range(0, 3000, 6)]
 
 
 def test_one_payload_per_file(spark, tmp_path):

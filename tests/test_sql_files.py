@@ -73,7 +73,7 @@ def test_load_from_file(spark, stage):
 
 def test_jdbc_options_of_a_query():
     got = jdbc.jdbc_options(
-        "jdbc:mysql://host/ecom?charset=utf8mb4", "SELECT * FROM users;",
+        "jdbc:mysql://host/ecom?charset=utf8mb4", "SELECT * FROM users;", drop_url_query=True,
         on_connect="SET NAMES utf8mb4", user="u",
     )
     assert got == {
@@ -82,6 +82,11 @@ def test_jdbc_options_of_a_query():
     }
 
 
+def test_jdbc_keeps_the_properties_of_the_url():
+    url = "jdbc:postgresql://h/d?sslmode=require&currentSchema=s"
+    assert jdbc.jdbc_options(url, "SELECT 1")["url"] == url
+
+
 def test_jdbc_options_of_a_split_query():
     got = jdbc.jdbc_options("jdbc:postgresql://h/d", "SELECT id, name FROM users", split=jdbc.Split("id", 1, 1000, 8))
     assert got == {

@@ -343,3 +343,8 @@ def test_heavy_days_of_a_large_calendar_are_split(spark, no_automatic_broadcast)
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_an_interval_has_both_ends_or_none(orders):
+    with pytest.raises(ValueError, match="both ends"):
+        summaries.daily_summary(orders(("2024-01-01T00:00:00", "1")), start="2024-01-01")
