@@ -88,7 +88,7 @@ def probes(place: np.ndarray, width: float, reach: float, most: int) -> Iterator
         if not heap:
             return
         cost, ranks, last = heapq.heappop(heap)
-        at = np.array(ranks)
+        at = np.array(ranks, dtype=int)
         yield (cell + moved[np.arange(hashes), at]).astype(np.int64), math.exp(-cost)
         # Every combination is reached once: only the last moved hash and later ones move on.
         for k in range(last, hashes):
@@ -111,7 +111,8 @@ def fit(
     """An index for ``n_rows`` vectors like the sample ``vectors``.
 
     The width follows the spread of projections; the number of hashes follows
-    the rows so that a bucket holds about ``bucket_rows``. Where neighbours are
+    the rows so that a bucket holds about ``bucket_rows``; fewer rows than that
+    are one bucket, and all of them are compared. Where neighbours are
     expected is taken from the nearest that the sample shows, their rank
     brought from the size of the whole to that of the sample.
     """
@@ -120,7 +121,7 @@ def fit(
     middle = vectors.mean(axis=0) if len(vectors) else np.zeros(size)
     off = vectors - middle
     spread = (float(np.sqrt((off**2).sum(axis=1).mean())) if len(vectors) else 0.0) or 1.0
-    hashes = max(1, round(math.log2(max(2.0, n_rows / bucket_rows)) / 1.25))
+    hashes = round(math.log2(max(1.0, n_rows / bucket_rows)) / 1.25)
     width = 1.5 * spread
     pull, reach = 1.0, 0.5 * spread
     if len(vectors) > 2:
