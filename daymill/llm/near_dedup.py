@@ -22,7 +22,7 @@ from daymill.llm.shared import whole_text, written
 
 # At a similarity of 0.8 no band agrees in one of 10^7 pairs.
 BANDS, BAND_BINS = 50, 6
-MOST_WORDS = 500_000
+MOST_WORDS = 250_000
 # Shingles of a block of documents, and numbers in a matrix of blocks, at about the most.
 BLOCK_SHINGLES, BLOCK_CELLS = 150_000, 20_000_000
 
