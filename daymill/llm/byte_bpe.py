@@ -20,7 +20,7 @@ from daymill.llm.pieces import ChunkCache
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # What is kept before starting over, texts encoded at once, and ids decoded at once.
-MOST_STATES, MOST_PAIRS, MOST_CHUNKS = 120_000, 300_000, 250_000
+MOST_STATES, MOST_PAIRS, MOST_CHUNKS = 220_000, 800_000, 500_000
 TEXTS_AT_ONCE, IDS_AT_ONCE = 500, 1 << 16
 NEVER = 1 << 40
 
