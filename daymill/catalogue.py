@@ -419,6 +419,23 @@ def d4_missing_intervals(spark, sf_dir):
     return calendars.missing_intervals(calendar, done)
 
 
+@registered
+def d4_catch_up_summary(spark, sf_dir):
+    """Weekends are processed first; the catch-up finds all other days."""
+    facts = event_orders(spark, sf_dir)
+    calendar = calendars.daily_calendar(calendars.observed_bounds(facts, "order_dt"))
+    schema = fresh_schema(spark, "catch_up")
+    target, processed = f"{schema}.orders_daily_summary", f"{schema}.processed"
+    weekends = calendar.where(clock.is_weekend("logical_date"))
+    for intervals_so_far, as_of in ((weekends, FIRST_LOAD), (calendar, SECOND_LOAD)):
+        loads.catch_up(facts, intervals_so_far, target, processed, as_of=as_of)
+    return tables.read_summary(spark, target).select(
+        "summary_date", "order_cnt", "total_amount",
+        (F.col("created_at") == F.lit(FIRST_LOAD)).alias("from_first"),
+        (F.col("updated_at") == F.lit(FIRST_LOAD)).alias("left_alone"),
+    )
+
+
 # E. Aggregations
 
 
@@ -633,6 +650,19 @@ def j3_sql_file_summary(spark, sf_dir):
     return sql_files.run_file(spark, "daily_summary", **run_parameters(spark, sf_dir))
 
 
+@registered
+def j3_zoned_sql_file_summary(spark, sf_dir):
+    """Times read as UTC instants, summed up by the date in Seoul."""
+    schema = fresh_schema(spark, "instants")
+    register_orders(
+        spark, schema, f"{sf_dir}/events.parquet",
+        "timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01', ts))", "value",
+    )
+    return sql_files.run_file(
+        spark, "daily_summary", zone=SEOUL, instants=True, src_schema=schema, start=RUN_START, end=RUN_END
+    )
+
+
 @registered
 def j4_query_to_files(spark, sf_dir):
     path = sql_files.query_to_files(

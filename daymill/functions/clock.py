@@ -40,6 +40,17 @@ def wall_literal(value: date | datetime | str, zone: str | None = None) -> Colum
     return F.expr(f"TIMESTAMP_NTZ '{wall_time(value, zone).isoformat(sep=' ')}'")
 
 
+def instant_literal(value: date | datetime | str, zone: str | None = None) -> Column:
+    """A ``timestamp`` literal; naive values are wall-clock time in ``zone``."""
+    if isinstance(value, str):
+        value = datetime.fromisoformat(value)
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        return F.lit(value)
+    if zone is None:
+        raise ValueError("a bound without a zone of its own needs one to be an instant")
+    return F.lit(wall_time(value).replace(tzinfo=ZoneInfo(zone)))
+
+
 def bound_literal(
     df: DataFrame, column: str, value: date | datetime | str, zone: str | None = None
 ) -> Column:
@@ -50,13 +61,7 @@ def bound_literal(
     kind = df.schema[column].dataType.typeName()
     if kind != "timestamp":
         return wall_literal(value, zone)
-    if isinstance(value, str):
-        value = datetime.fromisoformat(value)
-    if isinstance(value, datetime) and value.tzinfo is not None:
-        return F.lit(value)
-    if zone is None:
-        raise ValueError(f"{column} holds instants: give the zone of the bounds")
-    return F.lit(wall_time(value).replace(tzinfo=ZoneInfo(zone)))
+    return instant_literal(value, zone)
 
 
 def instant_to_wall(instant: Column | str, zone: str = "UTC") -> Column:

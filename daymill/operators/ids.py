@@ -46,7 +46,7 @@ def with_dense_ids(
 def _numbered(rows: DataFrame, after: int, id_column: str) -> DataFrame:
     names = [c for c in rows.columns if c != "_spot"]
     rows = rows.withColumn("_task", F.shiftright("_spot", PLACE_BITS))
-    # One row per task that wrote: few enough to order and to broadcast.
+    # One row per task that wrote: few enough to order.
     before = W.orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         rows.groupBy("_task")
@@ -55,4 +55,4 @@ def _numbered(rows: DataFrame, after: int, id_column: str) -> DataFrame:
     )
     place = F.col("_spot").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     dense = (F.lit(after) + F.col("_before") + place + 1).alias(id_column)
-    return rows.join(F.broadcast(offsets), "_task").select(dense, *names)
+    return rows.join(offsets, "_task").select(dense, *names)

@@ -217,6 +217,12 @@ ORACLES = {
         )
     """,
     "e1_daily_summary": ALL_DAYS,
+    "d4_catch_up_summary": f"""
+        SELECT summary_date, order_cnt, total_amount,
+               isodow(summary_date) IN (6, 7) AS from_first,
+               isodow(summary_date) IN (6, 7) AS left_alone
+        FROM ({ALL_DAYS}) d
+    """,
     "e1_zoned_daily_summary": f"""
         SELECT {DAILY.format(ts="ts + INTERVAL 9 HOUR", amount="value")}
         FROM events WHERE ts IS NOT NULL GROUP BY CAST(ts + INTERVAL 9 HOUR AS DATE)
@@ -278,6 +284,11 @@ ORACLES = {
     "j3_sql_file_summary": f"""
         SELECT {EVENTS_DAILY} FROM events WHERE {RUN_BOUNDS} GROUP BY CAST(ts AS DATE)
     """,
+    "j3_zoned_sql_file_summary": f"""
+        SELECT {DAILY.format(ts="ts + INTERVAL 9 HOUR", amount="value")}
+        FROM events WHERE ts >= TIMESTAMP '2024-01-04 15:00:00' AND ts < TIMESTAMP '2024-01-24 15:00:00'
+        GROUP BY CAST(ts + INTERVAL 9 HOUR AS DATE)
+    """,
     "j4_query_to_files": f"{HOURLY} WHERE {RUN_BOUNDS} GROUP BY 1",
     "j5_summary_load_from_file": f"""
         SELECT {EVENTS_DAILY} FROM events WHERE {RUN_BOUNDS} GROUP BY CAST(ts AS DATE)

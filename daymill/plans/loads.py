@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +12,11 @@ from pyspark.sql import functions as F
 from daymill.functions import clock
 from daymill.operators.market import build_coin_frame
 from daymill.operators.summaries import interval_summary, last_interval_wins
-from daymill.operators.upsert import upsert_table
-from daymill.plans.sql_files import run_file
-from daymill.plans.tables import create_summary
+from daymill.operators.upsert import MEASURES, upsert_table
+from daymill.plans.calendars import missing_intervals
+from daymill.plans.sql_files import holds_instants, run_file
+from daymill.plans.tables import create_intervals, create_summary
+from daymill.session import staged
 from daymill.sinks.files import publish, write_by_run_date
 
 
@@ -42,13 +46,52 @@ def load_summary_from_file(
     end: datetime,
     zone: str | None = None,
     as_of: datetime | None = None,
+    *,
+    name: str = "daily_summary",
+    search_path: Sequence[str | Path] = (),
+    key: str = "summary_date",
+    measures: Sequence[str] = MEASURES,
+    **params,
 ) -> None:
-    """The same for one interval, with the summary taken from its SQL file."""
-    create_summary(spark, table)
+    """The same for one interval, with the summary taken from a SQL file.
+
+    The file may be any that returns ``key``, a date, and ``measures``; it takes
+    ``:src_schema``, ``:start``, ``:end``, ``:zone`` and ``params``. A table of
+    other columns than the daily summary's must be there already.
+    """
+    if (key, *measures) == ("summary_date", *MEASURES):
+        create_summary(spark, table)
     summary = run_file(
-        spark, "daily_summary", zone=zone, src_schema=src_schema, start=start, end=end
+        spark, name, search_path, zone, holds_instants(spark, f"{src_schema}.orders", "order_dt"),
+        src_schema=src_schema, start=start, end=end, **params,
     )
-    upsert_table(summary, table, as_of=as_of)
+    upsert_table(summary, table, key, measures, as_of)
+
+
+def catch_up(
+    facts: DataFrame,
+    calendar: DataFrame,
+    table: str,
+    processed: str,
+    ts: str = "order_dt",
+    amount: str = "amount",
+    zone: str | None = None,
+    as_of: datetime | None = None,
+) -> None:
+    """Load every interval of a calendar that the table ``processed`` does not list yet.
+
+    Intervals are listed there after their rows are in the summary, those
+    without rows too, so an empty one is not taken up again. A run that stops
+    between the two is repeated without harm, as totals are replaced. Intervals
+    are told apart by their start and must not overlap.
+    """
+    spark = facts.sparkSession
+    create_intervals(spark, processed)
+    spark.catalog.refreshTable(processed)
+    missing = missing_intervals(calendar, spark.table(processed))
+    with staged(missing.select("interval_start", "interval_end"), "missing") as todo:
+        load_summary(facts, todo, table, ts, amount, zone, as_of)
+        todo.write.insertInto(processed)
 
 
 def table_to_lake(

@@ -55,6 +55,11 @@ def create_summary(spark: SparkSession, table: str) -> None:
     run_file(spark, "create_summary", table=table)
 
 
+def create_intervals(spark: SparkSession, table: str) -> None:
+    """The table of intervals processed so far, unless it exists."""
+    run_file(spark, "create_intervals", table=table)
+
+
 def read_summary(spark: SparkSession, table: str) -> DataFrame:
     """A summary table, as last written, without the column it is partitioned by."""
     spark.catalog.refreshTable(table)

@@ -8,20 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from daymill.functions import clock
-from daymill.plans.loads import load_summary
+from daymill.operators.summaries import MONEY, daily_summary
+from daymill.operators.upsert import upsert_table
 from daymill.plans.tables import create_summary
-from daymill.session import staged
 
+# Days as a batch has them.
+PARTS = f"summary_date DATE, order_cnt BIGINT, total_amount {MONEY}"
 
-def touched_days(batch: DataFrame, ts: str, zone: str | None = None) -> DataFrame:
-    """The daily intervals a batch has rows in."""
-    start = clock.day_start(clock.wall_clock(batch, ts, zone))
+
+def touched_totals(parts: DataFrame, batch_id: int) -> DataFrame:
+    """Totals over all batches of the days that a batch has rows in."""
+    days = parts.where(F.col("batch") == batch_id).select("summary_date")
     return (
-        batch.select(start.alias("interval_start"))
-        .where("interval_start IS NOT NULL")
-        .distinct()
-        .withColumn("interval_end", F.col("interval_start") + F.expr(clock.ONE_DAY))
+        parts.join(days, "summary_date", "left_semi")
+        .groupBy("summary_date")
+        .agg(
+            F.sum("order_cnt").alias("order_cnt"),
+            F.sum("total_amount").cast(MONEY).alias("total_amount"),
+        )
     )
 
 
@@ -39,16 +43,21 @@ def run_incremental_summary(
 ) -> None:
     """Process all files not processed yet, then stop.
 
-    The upsert replaces totals, so a batch tells only which days changed; those
-    days are summed up again from the whole source. Late rows thus mend their
-    day, and a batch that is repeated after a failure changes nothing.
+    Every file is read once. A batch leaves its counts and sums per day in a
+    folder of its own below the checkpoint, and the days it has are then summed
+    up over all batches and upserted. Late rows thus mend their day. A batch
+    that is repeated after a failure replaces its own counts, and so changes
+    nothing. The sums go with the checkpoint: whoever starts over without it
+    starts over as a whole.
     """
     create_summary(spark, table)
+    folder = f"{checkpoint.rstrip('/')}/daily_parts"
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        with staged(touched_days(batch, ts, zone), "touched_days") as calendar:
-            facts = batch.sparkSession.read.schema(schema).parquet(source)
-            load_summary(facts, calendar, table, ts, amount, zone, as_of)
+        found = daily_summary(batch, ts, amount, zone=zone)
+        found.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        parts = batch.sparkSession.read.schema(f"{PARTS}, batch BIGINT").parquet(folder)
+        upsert_table(touched_totals(parts, batch_id), table, as_of=as_of)
 
     reader = spark.readStream.schema(schema)
     if max_files:

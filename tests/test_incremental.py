@@ -6,6 +6,7 @@ from conftest import tuples
 
 from daymill.operators.summaries import daily_summary
 from daymill.plans import tables
+from daymill.streaming import incremental
 from daymill.streaming.incremental import run_incremental_summary
 
 
@@ -65,6 +66,30 @@ def test_small_batches_give_the_same_table(spark, schema, arrivals):
     assert totals(spark, table) == tuples(daily_summary(spark.read.parquet(arrivals.path)))
 
 
+def test_a_batch_reads_its_own_files_and_the_counts(spark, schema, arrivals, tmp_path):
+    table = f"{schema}.s"
+    for number in range(1, 4):
+        arrivals.add((f"2024-01-0{number} 10:00:00", number), ("2024-01-01 11:00:00", number))
+        arrivals.run(table)
+    parts = spark.read.schema(f"{incremental.PARTS}, batch BIGINT").parquet(str(tmp_path / "offsets" / "daily_parts"))
+    assert tuples(parts.groupBy("batch").count()) == [(0, 1), (1, 2), (2, 2)]
+    day = tuples(incremental.touched_totals(parts, 1))
+    assert day == tuples(daily_summary(spark.read.parquet(arrivals.path)).where("summary_date < '2024-01-03'"))
+
+
+def test_a_repeated_batch_changes_nothing(spark, schema, arrivals, tmp_path):
+    table = f"{schema}.s"
+    arrivals.add(("2024-01-01 10:00:00", 1))
+    arrivals.run(table)
+    arrivals.add(("2024-01-01 11:00:00", 2))
+    arrivals.run(table)
+    before = totals(spark, table)
+    for mark in (tmp_path / "offsets" / "commits").glob("*1*"):
+        mark.unlink()
+    arrivals.run(table)
+    assert totals(spark, table) == before == [(date(2024, 1, 1), 2, Decimal(3))]
+
+
 def test_instants_go_to_their_local_day(spark, schema, tmp_path):
     source, table = str(tmp_path / "in"), f"{schema}.s"
     instants = [datetime(2024, 1, 1, h, tzinfo=timezone.utc) for h in (14, 15, 16)]

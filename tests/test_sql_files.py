@@ -38,6 +38,53 @@ def test_bound_times_reach_the_scan(spark, stage):
     assert "GreaterThanOrEqual(order_dt,2024-01-02T00:00)" in plan
 
 
+@pytest.fixture
+def instants(spark, schema):
+    """Orders at instants: the second is still the day before in UTC and New York."""
+    at = [datetime(2024, 1, 5, 16, tzinfo=timezone.utc), datetime(2024, 1, 4, 20, tzinfo=timezone.utc),
+          datetime(2024, 1, 6, 15, tzinfo=timezone.utc)]
+    rows = spark.createDataFrame([(t, n) for n, t in enumerate(at, 1)], "order_dt TIMESTAMP, amount INT")
+    rows.write.saveAsTable(f"{schema}.orders")
+    return schema
+
+
+SPAN = {"start": datetime(2024, 1, 4, 15, tzinfo=timezone.utc), "end": datetime(2024, 1, 6, 15, tzinfo=timezone.utc)}
+
+
+def test_files_over_instants(spark, instants, any_session_zone):
+    got = sql_files.run_file(spark, "daily_summary", zone=SEOUL, instants=True, src_schema=instants, **SPAN)
+    assert tuples(got) == [(date(2024, 1, 5), 1, 2), (date(2024, 1, 6), 1, 1)]
+    assert tuples(got) == tuples(daily_summary(spark.table(f"{instants}.orders"), zone=SEOUL, **SPAN))
+    hourly = sql_files.run_file(spark, "hourly_count", zone=SEOUL, instants=True, src_schema=instants, **SPAN)
+    assert tuples(hourly) == [(datetime(2024, 1, 5, 5), 1), (datetime(2024, 1, 6, 1), 1)]
+
+
+def test_bound_instants_reach_the_scan(spark, instants):
+    got = sql_files.run_file(spark, "daily_summary", zone=SEOUL, instants=True, src_schema=instants, **SPAN)
+    assert "GreaterThanOrEqual(order_dt," in plan_of(got)
+
+
+def test_load_from_any_file_over_instants(spark, instants, tmp_path):
+    (tmp_path / "large_orders.sql").write_text(
+        "SELECT to_date(convert_timezone('UTC', :zone, TIMESTAMP_NTZ '1970-01-01'"
+        " + INTERVAL '0.000001' SECOND * unix_micros(order_dt))) AS day, count(*) AS n"
+        " FROM IDENTIFIER(:src_schema || '.orders')"
+        " WHERE order_dt >= :start AND order_dt < :end AND amount >= :least GROUP BY ALL",
+        encoding="utf-8",
+    )
+    target = f"{instants}.large"
+    spark.sql(
+        f"CREATE TABLE {target} (day DATE, n BIGINT, created_at TIMESTAMP, updated_at TIMESTAMP,"
+        " summary_month STRING) USING PARQUET OPTIONS ('partitionOverwriteMode' = 'dynamic')"
+        " PARTITIONED BY (summary_month)"
+    )
+    loads.load_summary_from_file(
+        spark, instants, target, SPAN["start"], SPAN["end"], SEOUL, name="large_orders",
+        search_path=[tmp_path], key="day", measures=["n"], least=2,
+    )
+    assert [r[:2] for r in tuples(spark.table(target))] == [(date(2024, 1, 5), 1)]
+
+
 def test_values_are_not_pasted(spark, stage):
     query = "SELECT count(*) AS n FROM IDENTIFIER(:s || '.orders') WHERE CAST(amount AS STRING) = :x"
     assert sql_files.run_query(spark, query, s=stage, x="' OR '1'='1").first()["n"] == 0
