@@ -48,7 +48,8 @@ def run_incremental_summary(
     up over all batches and upserted. Late rows thus mend their day. A batch
     that is repeated after a failure replaces its own counts, and so changes
     nothing. The sums go with the checkpoint: whoever starts over without it
-    starts over as a whole.
+    starts over as a whole. A checkpoint made before there were such counts has
+    none of its earlier batches, and must be started over too.
     """
     create_summary(spark, table)
     folder = f"{checkpoint.rstrip('/')}/daily_parts"
