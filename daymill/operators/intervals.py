@@ -1,13 +1,14 @@
 """Joining facts to a calendar of intervals.
 
 A range condition alone would make Spark compare every fact with every
-interval. Intervals are cut at midnight instead, which leaves an equality on
-the day and checks the range only within it.
+interval. Intervals are cut into days instead, and days into buckets as wide as
+suits the calendar, which leaves an equality on both and checks the range only
+within a bucket.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 from itertools import pairwise
@@ -22,6 +23,12 @@ from daymill.operators.filters import within_any
 BROADCAST_PIECES = 500_000
 
 
+# Widths of a bucket in seconds: a day, an hour, a minute, a second. The narrowest
+# counts that cuts an interval into no more pieces than this on average.
+DAY_SECONDS = 86_400
+WIDTHS = (DAY_SECONDS, 3_600, 60, 1)
+MEAN_PIECES = 2
+
 # Of a calendar with no more intervals than this, the gaps are looked at.
 LISTED_INTERVALS = 10_000
 
@@ -36,12 +43,13 @@ Range = tuple[datetime, datetime]
 class Extent:
     """How much a calendar covers.
 
-    ``ranges`` hold all its intervals, ``pieces`` is the number of their days,
-    ``whole_days`` tells whether all start and end at midnight, and ``repeats``
-    whether one may be listed twice.
+    ``ranges`` hold all its intervals, ``width`` is that of the buckets they are
+    cut to, ``pieces`` how many these are, ``whole_days`` tells whether all
+    start and end at midnight, and ``repeats`` whether one may be listed twice.
     """
 
     ranges: tuple[Range, ...]
+    width: int
     pieces: int
     whole_days: bool
     repeats: bool
@@ -55,6 +63,18 @@ def _at_midnight(name: str) -> Column:
     return F.col(name) == clock.day_start(F.col(name))
 
 
+def bucket_of(moment: Column, width: int) -> Column:
+    """The number of the bucket within its day that a wall-clock time falls in."""
+    second = F.hour(moment) * 3_600 + F.minute(moment) * 60 + F.second(moment)
+    return F.floor(second / width).cast("int")
+
+
+def _fitting_width(intervals: int, pieces: Mapping[int, int]) -> tuple[int, int]:
+    fitting = [w for w in WIDTHS if pieces[w] <= MEAN_PIECES * intervals]
+    width = min(fitting, default=DAY_SECONDS)
+    return width, pieces[width]
+
+
 def covering_ranges(intervals: Iterable[Range]) -> tuple[Range, ...]:
     """Few ranges that hold all intervals and leave out the widest gaps between them."""
     merged: list[Range] = []
@@ -80,11 +100,16 @@ def calendar_extent(calendar: DataFrame) -> Extent | None:
 
     A calendar too long to list is measured in one row, without its gaps.
     """
-    days = F.datediff(F.to_date(_last_moment()), F.to_date("interval_start")) + 1
+    days = F.datediff(F.to_date(_last_moment()), F.to_date("interval_start")).cast("bigint")
+
+    def pieces(width: int) -> Column:
+        first, last = (bucket_of(m, width) for m in (F.col("interval_start"), _last_moment()))
+        return (days * (DAY_SECONDS // width) + last - first + 1).alias(f"of_{width}")
+
     measured = calendar.where("interval_start < interval_end").select(
         "interval_start",
         "interval_end",
-        days.alias("days"),
+        *map(pieces, WIDTHS),
         (_at_midnight("interval_start") & _at_midnight("interval_end")).alias("whole"),
     )
     listed = measured.limit(LISTED_INTERVALS + 1).collect()
@@ -94,14 +119,23 @@ def calendar_extent(calendar: DataFrame) -> Extent | None:
         intervals = {(r.interval_start, r.interval_end) for r in listed}
         return Extent(
             covering_ranges(intervals),
-            sum(r.days for r in listed),
+            *_fitting_width(len(listed), {w: sum(r[f"of_{w}"] for r in listed) for w in WIDTHS}),
             all(r.whole for r in listed),
             len(intervals) < len(listed),
         )
-    start, end, pieces, whole = measured.agg(
-        F.min("interval_start"), F.max("interval_end"), F.sum("days"), F.bool_and("whole")
+    total = measured.agg(
+        F.min("interval_start").alias("start"),
+        F.max("interval_end").alias("end"),
+        F.count("*").alias("intervals"),
+        *(F.sum(f"of_{w}").alias(f"of_{w}") for w in WIDTHS),
+        F.bool_and("whole").alias("whole"),
     ).first()
-    return Extent(((start, end),), pieces, whole, True)
+    return Extent(
+        ((total.start, total.end),),
+        *_fitting_width(total.intervals, {w: total[f"of_{w}"] for w in WIDTHS}),
+        total.whole,
+        True,
+    )
 
 
 def day_pieces(calendar: DataFrame) -> DataFrame:
@@ -112,6 +146,17 @@ def day_pieces(calendar: DataFrame) -> DataFrame:
     )
 
 
+def bucket_pieces(calendar: DataFrame, width: int) -> DataFrame:
+    """One row per interval and bucket it touches, in columns ``day`` and ``bucket``."""
+    last = F.lit(DAY_SECONDS // width - 1)
+    starts, ends = (F.to_date(m) == F.col("day") for m in (F.col("interval_start"), _last_moment()))
+    buckets = F.sequence(
+        F.when(starts, bucket_of(F.col("interval_start"), width)).otherwise(0),
+        F.when(ends, bucket_of(_last_moment(), width)).otherwise(last),
+    )
+    return day_pieces(calendar).select("*", F.explode(buckets).alias("bucket"))
+
+
 def interval_join(
     facts: DataFrame,
     calendar: DataFrame,
@@ -124,10 +169,12 @@ def interval_join(
 
     The calendar is measured first. Within ``broadcast_pieces`` it is sent to
     the facts, which then need no shuffle; beyond, both sides are shuffled on
-    the day, where adaptive execution splits days that are too heavy.
+    the day and bucket, where adaptive execution splits those that are too
+    heavy. Measuring runs a job when the frame is built.
     """
     extent = extent or calendar_extent(calendar)
-    pieces = day_pieces(calendar.select("interval_start", "interval_end"))
+    width = extent.width if extent else DAY_SECONDS
+    pieces = bucket_pieces(calendar.select("interval_start", "interval_end"), width)
     if extent is None:
         facts = facts.where(F.lit(False))
     else:
@@ -137,7 +184,8 @@ def interval_join(
     wall = clock.wall_clock(facts, ts, zone)
     inside = (
         (F.to_date(wall) == F.col("day"))
+        & (bucket_of(wall, width) == F.col("bucket"))
         & (wall >= F.col("interval_start"))
         & (wall < F.col("interval_end"))
     )
-    return facts.join(pieces, inside).drop("day")
+    return facts.join(pieces, inside).drop("day", "bucket")

@@ -9,6 +9,8 @@ from daymill.functions import clock
 from daymill.operators.filters import Moment, half_open, within_any
 from daymill.operators.intervals import (
     BROADCAST_PIECES,
+    bucket_of,
+    bucket_pieces,
     calendar_extent,
     day_pieces,
     interval_join,
@@ -112,15 +114,16 @@ def interval_summary(
         facts.groupBy(clock.wall_clock(facts, ts, zone).alias("moment"))
         .agg(F.count("*").alias("rows"), F.sum(F.col(amount).cast(MONEY)).alias("money"))
         .withColumn("day", F.to_date("moment"))
+        .withColumn("bucket", bucket_of(F.col("moment"), extent.width))
         .withColumn("slot", F.pmod(F.xxhash64("moment"), F.lit(DAY_SLOTS)).cast("int"))
     )
     slots = F.explode(F.sequence(F.lit(0), F.lit(DAY_SLOTS - 1))).alias("slot")
-    pieces = day_pieces(calendar).select("*", slots)
+    pieces = bucket_pieces(calendar, extent.width).select("*", slots)
     inside = (F.col("moment") >= F.col("interval_start")) & (
         F.col("moment") < F.col("interval_end")
     )
     return (
-        moments.join(pieces, ["day", "slot"])
+        moments.join(pieces, ["day", "bucket", "slot"])
         .where(inside)
         .groupBy(*INTERVAL, F.col("day").alias("summary_date"))
         .agg(

@@ -183,6 +183,28 @@ def test_interval_join_equals_brute_force(spark, overlapping, limit):
     assert Counter(tuple(r) for r in got.collect()) == Counter(wanted)
 
 
+@pytest.mark.parametrize("limit", [intervals.BROADCAST_PIECES, 3])
+@pytest.mark.parametrize("seconds, width", [(5, 60), (60, 60), (2_700, 3_600), (90_000, 86_400)])
+def test_buckets_follow_the_calendar(spark, seconds, width, limit):
+    first = datetime(2024, 1, 1, 22, 30)
+    spans = [
+        (first + timedelta(seconds=n * seconds), first + timedelta(seconds=(n + 1) * seconds))
+        for n in range(1_200 if seconds < 60 else 150)
+    ]
+    schema = "interval_start TIMESTAMP_NTZ, interval_end TIMESTAMP_NTZ"
+    calendar = spark.createDataFrame(spans, schema)
+    assert intervals.calendar_extent(calendar).width == width
+    length = (spans[-1][1] - first) / timedelta(seconds=1)
+    rows = [(first + timedelta(seconds=length * n / 400 - 3), 1.0) for n in range(410)]
+    facts = spark.createDataFrame(rows, "order_dt TIMESTAMP_NTZ, amount DOUBLE")
+    got = intervals.interval_join(facts, calendar, "order_dt", broadcast_pieces=limit)
+    wanted = [(ts, a, s, e) for ts, a in rows for s, e in spans if s <= ts < e]
+    assert Counter(tuple(r) for r in got.collect()) == Counter(wanted)
+    summary = summaries.interval_summary(facts, calendar, broadcast_pieces=limit)
+    counts = Counter((s, e, ts.date()) for ts, _, s, e in wanted)
+    assert {tuple(r)[:4] for r in summary.collect()} == {(*k, n) for k, n in counts.items()}
+
+
 def test_covering_ranges():
     def day(n):
         return datetime(2024, 1, 1) + timedelta(days=n)
@@ -216,6 +238,7 @@ def test_calendars_too_long_to_list(spark, overlapping, monkeypatch):
     monkeypatch.setattr(intervals, "LISTED_INTERVALS", 2)
     measured = intervals.calendar_extent(overlapping[1])
     assert (measured.pieces, measured.whole_days) == (listed.pieces, listed.whole_days)
+    assert measured.width == listed.width
     assert measured.ranges == ((datetime(2024, 1, 2), datetime(2030, 1, 2)),)
     assert listed.ranges == (
         (datetime(2024, 1, 2), datetime(2024, 1, 11)), (datetime(2030, 1, 1), datetime(2030, 1, 2)),
