@@ -174,3 +174,19 @@ def test_list_objects_reads_no_contents(spark, tmp_path):
     assert sorted((r.path.rsplit("/", 1)[-1], r.length) for r in listed.collect()) == [("a.txt", 3), ("b.csv", 1)]
     assert "content" not in plan_of(listed)
     assert objects.list_objects(spark, str(tmp_path / "raw"), "*.txt").count() == 1
+
+
+@pytest.mark.parametrize(
+    "beginning, names",
+    [
+        ("event", ["event_a.csv", "deep.csv"]), ("event_", ["event_a.csv"]), ("events/", ["deep.csv"]),
+        ("[x]*", ["[x]*y.csv"]), ("", ["event_a.csv", "deep.csv", "[x]*y.csv", "other.csv"]), ("none", []),
+    ],
+)
+def test_list_keys_by_their_beginning(spark, tmp_path, beginning, names):
+    (tmp_path / "events").mkdir()
+    for key in ("event_a.csv", "events/deep.csv", "[x]*y.csv", "other.csv", "_SUCCESS"):
+        (tmp_path / key).write_text("x")
+    listed = objects.list_keys(spark, str(tmp_path), beginning)
+    assert sorted(r.path.rsplit("/", 1)[-1] for r in listed.collect()) == sorted(names)
+    assert listed.columns == ["path", "length", "modificationTime"]
