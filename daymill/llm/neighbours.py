@@ -9,6 +9,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,6 +19,9 @@ from daymill.llm.shared import written
 
 # Index rows a task holds at once, about.
 ROWS_A_PART = 25_000
+# Where queries meet all rows: the most rows and queries of a block, about, the fewest blocks of
+# rows, and the distances held at once.
+ROWS_A_BLOCK, QUERIES_A_BLOCK, LEAST_BLOCKS, BLOCK_CELLS = 50_000, 5_000, 24, 4_000_000
 
 
 @dataclass(frozen=True)
@@ -161,9 +166,10 @@ def nearest(
     nearest of those found among all rows with another id, ties to the smaller
     id. Every row is hashed into every table. For a query the buckets of all
     tables are visited in the order of their estimated chance to hold a
-    neighbour, until the chance to have missed one falls below ``1 - hits`` or
-    ``most_probes`` a table are used up. What they hold is compared exactly, in
-    double precision.
+    neighbour, until the chance to have missed one falls below ``1 - hits``.
+    What they hold is compared exactly, in double precision. A query for which
+    ``most_probes`` a table do not get there, or whose buckets hold fewer than
+    ``k`` rows, is compared with all rows instead, in blocks of both.
 
     Null vectors and ids, zero vectors, and vectors with null or non-finite
     components take no part, nor do those of another length than most. Of rows
@@ -215,18 +221,38 @@ def nearest(
             for at in range(0, len(batch), 200):
                 some = batch.iloc[at : at + 200]
                 points = np.array(some["vector"].tolist(), dtype=np.float64)
-                yield _probe_rows(index, parts, some["vec_id"].to_numpy(), points, some["vector"])
+                buckets = _probed_buckets(index, points)
+                yield some[["vec_id", "vector"]].assign(reached=[b is not None for b in buckets], buckets=buckets)
 
-    left = asked.mapInPandas(probed, schema).groupBy("part")
-    right = stored.mapInPandas(hashed, schema).groupBy("part")
+    def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 200):
+                yield _dealt_rows(parts, batch.iloc[at : at + 200])
 
     def compared(probe: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         return _best_of_part(probe, held, k)
 
-    found = left.cogroup(right).applyInPandas(
+    tried = written(asked.mapInPandas(
+        probed, "vec_id bigint, vector array<double>, reached boolean, buckets array<bigint>"
+    ), "probes")
+    reached = tried.filter("reached")
+    left = reached.select("vec_id", "vector", "buckets").mapInPandas(
+        dealt, "part int, vec_id bigint, vector array<double>, buckets array<bigint>"
+    ).groupBy("part")
+    right = stored.mapInPandas(hashed, schema).groupBy("part")
+    if reached.isEmpty():
+        return _answers(_compared_with_all(asked, stored, k, n_rows), k)
+    found = written(_answers(left.cogroup(right).applyInPandas(
         compared, "query_id bigint, vec_id bigint, score double"
-    )
-    return _answers(found, k)
+    ), k), "found")
+    # Counted over the answers themselves: a query without any has no row here.
+    full = found.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+    short = written(asked.join(full, "vec_id", "left_anti"), "short")
+    if short.isEmpty():
+        return found
+    rest = _answers(_compared_with_all(short, stored, k, n_rows), k)
+    whole = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti")
+    return whole.select(rest.columns).unionByName(rest)
 
 
 def _answers(found: DataFrame, k: int) -> DataFrame:
@@ -253,34 +279,40 @@ def _index_rows(index: Index, parts: int, ids, points, vectors) -> pd.DataFrame:
     })
 
 
-def _probe_rows(index: Index, parts: int, ids, points, vectors) -> pd.DataFrame:
+def _probed_buckets(index: Index, points) -> list[np.ndarray | None]:
+    """The buckets each query has to visit, or None if there are too few to reach ``hits``."""
     places = index.expected(points)
-    owners, buckets = [], []
+    found_of = []
     for i in range(len(points)):
-        waiting = []
+        waiting, buckets, reached = [], [], False
         for t in range(places.shape[1]):
             found = probes(places[i, t], index.width, index.reach, index.most_probes)
-            first = next(found)
-            waiting.append((-first[1], t, first[0], found))
+            first = next(found, None)
+            if first is not None:
+                waiting.append((-first[1], t, first[0], found))
         heapq.heapify(waiting)
         # Chances add up within a table; tables miss independently of each other.
         inside = np.zeros(places.shape[1])
-        while waiting:
+        while waiting and not reached:
             chance, t, cells, found = heapq.heappop(waiting)
-            owners.append(i)
             buckets.append(np.concatenate([[t], cells]))
             inside[t] -= chance
-            if np.prod(1 - np.minimum(inside, 1)) < 1 - index.hits:
-                break
-            following = next(found, None)
+            reached = bool(np.prod(1 - np.minimum(inside, 1)) < 1 - index.hits)
+            following = None if reached else next(found, None)
             if following is not None:
                 heapq.heappush(waiting, (-following[1], t, following[0], found))
-    keys = bucket_keys(np.array(buckets))
-    owners = np.array(owners)
-    return pd.DataFrame({
-        "part": (keys % parts).astype(np.int32), "bucket": keys, "vec_id": ids[owners],
-        "vector": vectors.take(owners).array,
-    })
+        found_of.append(bucket_keys(np.array(buckets)) if reached else None)
+    return found_of
+
+
+def _dealt_rows(parts: int, tried: pd.DataFrame) -> pd.DataFrame:
+    """A row for each query and part that holds some of its buckets."""
+    rows = []
+    for vec_id, vector, buckets in zip(tried["vec_id"], tried["vector"], tried["buckets"]):
+        buckets = np.unique(buckets)
+        to = buckets % parts
+        rows += [(part, vec_id, vector, buckets[to == part]) for part in np.unique(to)]
+    return pd.DataFrame(rows, columns=["part", "vec_id", "vector", "buckets"])
 
 
 def _best_of_part(probe: pd.DataFrame, held: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -292,9 +324,8 @@ def _best_of_part(probe: pd.DataFrame, held: pd.DataFrame, k: int) -> pd.DataFra
     keys, ids = held["bucket"].to_numpy(), held["vec_id"].to_numpy()
     points = np.array(held["vector"].tolist(), dtype=np.float64)
     out = []
-    for query, visits in probe.groupby("vec_id"):
-        vector = np.array(visits["vector"].iloc[0], dtype=np.float64)
-        buckets = visits["bucket"].unique()
+    for query, vector, buckets in zip(probe["vec_id"], probe["vector"], probe["buckets"]):
+        vector = np.array(vector, dtype=np.float64)
         starts, ends = np.searchsorted(keys, buckets), np.searchsorted(keys, buckets, "right")
         at = np.concatenate([np.arange(s, e) for s, e in zip(starts, ends)])
         at = at[ids[at] != query]
@@ -304,3 +335,59 @@ def _best_of_part(probe: pd.DataFrame, held: pd.DataFrame, k: int) -> pd.DataFra
             best = np.lexsort((near, scores))[:k]
             out.append(pd.DataFrame({"query_id": query, "vec_id": near[best], "score": scores[best]}))
     return pd.concat(out) if out else empty
+
+
+def _compared_with_all(asked: DataFrame, stored: DataFrame, k: int, n_rows: int) -> DataFrame:
+    """The ``k`` nearest of each query in each block of rows, every row compared.
+
+    A block of queries and a block of rows meet in a task, whatever the rows
+    hold: both are dealt by their ids.
+    """
+    blocks = max(LEAST_BLOCKS, math.ceil(n_rows / ROWS_A_BLOCK))
+    chunks = max(1, math.ceil(asked.count() / QUERIES_A_BLOCK))
+    place = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = asked.select("vec_id", "vector", upto(blocks).alias("block"), place(chunks).alias("chunk"))
+    right = stored.select("vec_id", "vector", place(blocks).alias("block"), upto(chunks).alias("chunk"))
+
+    def compared(queries: pa.Table, held: pa.Table) -> pa.Table:
+        return _best_of_block(queries, held, k)
+
+    return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(
+        compared, "query_id bigint, vec_id bigint, score double"
+    )
+
+
+def _points(vectors: pa.ChunkedArray, rows: int) -> np.ndarray:
+    return pc.list_flatten(vectors).to_numpy().reshape(rows, -1)
+
+
+def _best_of_block(asked: pa.Table, held: pa.Table, k: int) -> pa.Table:
+    """The nearest rows of a block for each query; a product of matrices tells which to measure.
+
+    The product's error is far below the slack, so no row among the nearest is passed over.
+    """
+    out = []
+    if len(asked) and len(held):
+        ids, points = held["vec_id"].to_numpy(), _points(held["vector"], len(held))
+        queries, vectors = asked["vec_id"].to_numpy(), _points(asked["vector"], len(asked))
+        squares = (points**2).sum(axis=1)
+        last = min(k, len(ids)) - 1
+        step = max(1, BLOCK_CELLS // len(ids))
+        for at in range(0, len(queries), step):
+            some = vectors[at : at + step]
+            own = (some**2).sum(axis=1)
+            rough = own[:, None] + squares[None] - 2 * some @ points.T
+            rough[queries[at : at + step, None] == ids[None]] = np.inf
+            slack = 1e-9 * (own + squares.max())
+            bound = np.partition(rough, last, axis=1)[:, last] + slack
+            # What overflows is measured too.
+            measured = (rough <= bound[:, None]) | ~np.isfinite(rough)
+            for i, query in enumerate(queries[at : at + step]):
+                rows = np.flatnonzero(measured[i] & (ids != query))
+                scores = np.sqrt(((points[rows] - some[i]) ** 2).sum(axis=1))
+                best = np.lexsort((ids[rows], scores))[:k]
+                out.append((np.full(len(best), query), ids[rows[best]], scores[best]))
+    columns = [np.concatenate(c) for c in zip(*out)] if out else [[], [], []]
+    types = (pa.int64(), pa.int64(), pa.float64())
+    return pa.table({n: pa.array(c, t) for n, c, t in zip(("query_id", "vec_id", "score"), columns, types)})

@@ -215,6 +215,28 @@ def test_odd_vectors_take_no_part(spark):
     assert sorted((r.query_id, r.vec_id) for r in few) == [(0, 1), (1, 0)]
 
 
+def test_queries_beyond_the_probes_are_compared_with_all_rows(spark):
+    rng = np.random.default_rng(3)
+    points = rng.standard_normal((2500, 32)).astype(np.float32)
+    frame = vectors_of(spark, points)
+    got = defaultdict(list)
+    for r in neighbours.nearest(frame, F.col("vec_id") % 50 == 0, most_probes=1).orderBy("rank").collect():
+        got[r.query_id].append(r.vec_id)
+    exact = points.astype(float)
+    for q in range(0, 2500, 50):
+        far = np.sqrt(((exact - exact[q]) ** 2).sum(axis=1))
+        far[q] = np.inf
+        assert got[q] == list(np.lexsort((np.arange(2500), far))[:10])
+
+
+def test_queries_with_few_rows_in_their_buckets_are_compared_with_all_rows(spark):
+    rng = np.random.default_rng(4)
+    crowd = rng.standard_normal((2000, 8)).astype(np.float32) * 0.01
+    frame = vectors_of(spark, crowd, [(5000, [50.0] * 8), (5001, [-50.0] * 8)])
+    got = neighbours.nearest(frame, F.col("vec_id") >= 5000).collect()
+    assert Counter(r.query_id for r in got) == {5000: 10, 5001: 10}
+
+
 # Pipeline
 
 
