@@ -17,8 +17,8 @@ from pyspark.sql.window import Window
 
 from daymill.llm.shared import written
 
-# Index rows a task holds at once, about.
-ROWS_A_PART = 25_000
+# Index rows a task holds at once, about, and rows of a bucket that stay together.
+ROWS_A_PART, ROWS_A_PIECE = 25_000, 3_000
 # Where queries meet all rows: the most rows and queries of a block, about, the fewest blocks of
 # rows, and the distances held at once.
 ROWS_A_BLOCK, QUERIES_A_BLOCK, LEAST_BLOCKS, BLOCK_CELLS = 50_000, 5_000, 24, 4_000_000
@@ -53,6 +53,34 @@ class Index:
         return self.places(self.middle + self.pull * (vectors - self.middle))
 
 
+@dataclass(frozen=True)
+class Parts:
+    """How buckets are dealt to so many parts: crowded ones in pieces, by the ids of their rows."""
+
+    count: int
+    crowded: np.ndarray  # buckets in order
+    pieces: np.ndarray  # of each of them
+
+    def pieces_of(self, buckets: np.ndarray) -> np.ndarray:
+        if not len(self.crowded):
+            return np.ones(len(buckets), np.int64)
+        at = np.minimum(np.searchsorted(self.crowded, buckets), len(self.crowded) - 1)
+        return np.where(self.crowded[at] == buckets, self.pieces[at], 1)
+
+    def of_rows(self, buckets: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        return self._of(buckets, bucket_keys(ids[:, None]) % self.pieces_of(buckets))
+
+    def of_visits(self, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The parts that hold these buckets, and the bucket of each."""
+        pieces = self.pieces_of(buckets)
+        visits = np.repeat(buckets, pieces)
+        piece = np.arange(len(visits)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        return self._of(visits, piece), visits
+
+    def _of(self, buckets: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        return (bucket_keys(np.stack([buckets, piece], axis=1)) % self.count).astype(np.int32)
+
+
 def _normal(x: np.ndarray) -> np.ndarray:
     """The normal distribution function, to about 1e-7."""
     z = np.abs(x) / math.sqrt(2)
@@ -169,7 +197,8 @@ def nearest(
     neighbour, until the chance to have missed one falls below ``1 - hits``.
     What they hold is compared exactly, in double precision. A query for which
     ``most_probes`` a table do not get there, or whose buckets hold fewer than
-    ``k`` rows, is compared with all rows instead, in blocks of both.
+    ``k`` rows, is compared with all rows instead, in blocks of both. A bucket
+    with many rows is cut into pieces, which lie in different parts.
 
     Null vectors and ids, zero vectors, and vectors with null or non-finite
     components take no part, nor do those of another length than most. Of rows
@@ -205,7 +234,7 @@ def nearest(
         sample, n_rows, tables=tables, bucket_rows=bucket_rows, hits=hits,
         most_probes=most_probes, k=k,
     )
-    parts = max(1, math.ceil(n_rows * tables / ROWS_A_PART))
+    parts = _parts(stored, index, max(1, math.ceil(n_rows * tables / ROWS_A_PART)))
     asked = rows.filter("asks").select("vec_id", "vector")
 
     schema = "part int, bucket bigint, vec_id bigint, vector array<double>"
@@ -269,13 +298,34 @@ def _table_keys(cells: np.ndarray) -> np.ndarray:
     return bucket_keys(np.concatenate([tables, cells], axis=2))
 
 
-def _index_rows(index: Index, parts: int, ids, points, vectors) -> pd.DataFrame:
-    keys = _table_keys(np.floor(index.places(points)).astype(np.int64))
+def _row_keys(index: Index, points: np.ndarray) -> np.ndarray:
+    return _table_keys(np.floor(index.places(points)).astype(np.int64))
+
+
+def _parts(stored: DataFrame, index: Index, count: int) -> Parts:
+    """Parts for these rows; this counts the rows of each bucket."""
+
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                points = np.array(batch["vector"].tolist(), dtype=np.float64)
+                yield pd.DataFrame({"bucket": _row_keys(index, points).reshape(-1)})
+
+    sizes = stored.select("vector").mapInPandas(keyed, "bucket bigint").groupBy("bucket").count()
+    crowded = sorted(sizes.filter(F.col("count") > ROWS_A_PIECE).collect())
+    return Parts(
+        count, np.array([b for b, _ in crowded], np.int64),
+        np.array([math.ceil(n / ROWS_A_PIECE) for _, n in crowded], np.int64),
+    )
+
+
+def _index_rows(index: Index, parts: Parts, ids, points, vectors) -> pd.DataFrame:
+    keys = _row_keys(index, points)
     tables = keys.shape[1]
-    flat = keys.reshape(-1)
+    flat, owners = keys.reshape(-1), np.repeat(ids, tables)
     return pd.DataFrame({
-        "part": (flat % parts).astype(np.int32), "bucket": flat,
-        "vec_id": np.repeat(ids, tables), "vector": vectors.repeat(tables).array,
+        "part": parts.of_rows(flat, owners), "bucket": flat,
+        "vec_id": owners, "vector": vectors.repeat(tables).array,
     })
 
 
@@ -305,13 +355,12 @@ def _probed_buckets(index: Index, points) -> list[np.ndarray | None]:
     return found_of
 
 
-def _dealt_rows(parts: int, tried: pd.DataFrame) -> pd.DataFrame:
+def _dealt_rows(parts: Parts, tried: pd.DataFrame) -> pd.DataFrame:
     """A row for each query and part that holds some of its buckets."""
     rows = []
     for vec_id, vector, buckets in zip(tried["vec_id"], tried["vector"], tried["buckets"]):
-        buckets = np.unique(buckets)
-        to = buckets % parts
-        rows += [(part, vec_id, vector, buckets[to == part]) for part in np.unique(to)]
+        to, visits = parts.of_visits(np.unique(buckets))
+        rows += [(part, vec_id, vector, np.unique(visits[to == part])) for part in np.unique(to)]
     return pd.DataFrame(rows, columns=["part", "vec_id", "vector", "buckets"])
 
 

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -237,6 +238,30 @@ def test_queries_with_few_rows_in_their_buckets_are_compared_with_all_rows(spark
     assert Counter(r.query_id for r in got) == {5000: 10, 5001: 10}
 
 
+def test_crowded_buckets_are_spread_over_parts(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "ROWS_A_PART", 500)
+    monkeypatch.setattr(neighbours, "ROWS_A_PIECE", 60)
+    rng = np.random.default_rng(5)
+    points = rng.standard_normal((1500, 8))
+    points[:500] = points[0] + 1e-3 * rng.standard_normal((500, 8))
+    index = neighbours.fit(points, 1500, tables=6, bucket_rows=120, hits=0.95, most_probes=400, k=10)
+    frame = vectors_of(spark, points).withColumnRenamed("embedding", "vector")
+    parts = neighbours._parts(frame, index, 18)
+    ids = np.arange(1500)
+    rows = neighbours._index_rows(index, parts, ids, points, pd.Series(list(points)))
+    assert rows["part"].value_counts().max() <= 1500
+    assert rows.groupby("bucket").size().max() >= 500
+    assert rows.groupby(["bucket", "part"]).size().max() < 250
+    # A visit of a bucket reaches all of its rows.
+    buckets = np.unique(rows["bucket"].to_numpy())
+    visited = set(zip(*parts.of_visits(buckets)))
+    assert visited >= set(zip(rows["part"], rows["bucket"]))
+    got = neighbours.nearest(vectors_of(spark, points), F.col("vec_id") % 100 == 0).collect()
+    want = brute_nearest([(i, p) for i, p in enumerate(points.astype(np.float32).astype(float))], lambda i: i % 100 == 0, 10)
+    assert len(got) == 150
+    assert sum(r.vec_id in want[r.query_id] for r in got) >= 0.9 * 150
+
+
 # Pipeline
 
 
