@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
@@ -33,8 +35,14 @@ UNICODE_ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+|&#(?:[0-
 BASE64_RUNS = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 ODD_CHARS = re.compile(r"[^\t\n\r\x20-\x7e\x85\xa0-퟿-�\U00010000-\U0010ffff]")
 
-# A compressed layer may grow to so many bytes; a larger one is counted, not scanned.
+# A compressed layer may grow to so many bytes; a larger one is counted, and scanned in windows.
 LAYER_BYTES = 64_000_000
+# Windows have so many characters or more, up to where no secret or encoded part can go on. Where
+# there is no such place for LAYER_BYTES, they overlap.
+WINDOW_CHARS, OVERLAP_CHARS = 1_000_000, 65_536
+# A word between blanks before another word, or a character that is in no pattern.
+BORDER = re.compile(r"\x20[a-z]{1,12}(?=\x20[a-z])|[,()\[\]{}<>|!?*~^$@]|[^\x00-\x7f]")
+LONG_BLANKS = re.compile(r"\x20{65,}")
 
 Span = tuple[str, int, int]
 
@@ -85,7 +93,11 @@ def _readable(raw: bytes) -> str | None:
 
 
 class TooLarge(Exception):
-    """A compressed layer beyond ``LAYER_BYTES``."""
+    """A compressed layer beyond ``LAYER_BYTES``; the argument is what to unwrap."""
+
+
+def _wraps(raw: bytes) -> int:
+    return 31 if raw[:2] == b"\x1f\x8b" else 15 if raw[:1] == b"\x78" else 0
 
 
 def _inflated(raw: bytes) -> bytes:
@@ -93,7 +105,7 @@ def _inflated(raw: bytes) -> bytes:
     seen = set()
     while raw not in seen:
         seen.add(raw)
-        wraps = 31 if raw[:2] == b"\x1f\x8b" else 15 if raw[:1] == b"\x78" else 0
+        wraps = _wraps(raw)
         if not wraps:
             break
         stream = zlib.decompressobj(wraps)
@@ -102,13 +114,81 @@ def _inflated(raw: bytes) -> bytes:
         except zlib.error:
             break
         if len(out) > LAYER_BYTES:
-            raise TooLarge
+            raise TooLarge(raw)
         if not stream.eof:
             break
         raw = out
     return raw
 
 
+def _pieces(chunks: Iterator[bytes], seen: frozenset[bytes] = frozenset()) -> Iterator[bytes]:
+    """What ``_inflated`` gives, in pieces, however large; of a broken stream what comes before the break."""
+    head = next(chunks, b"")
+    while len(head) < 2 and (more := next(chunks, b"")):
+        head += more
+    if not _wraps(head) or head in seen:
+        yield from chain([head], chunks)
+        return
+    inner = _stream_pieces(_wraps(head), chain([head], chunks))
+    try:
+        first = next(inner, b"")
+    except zlib.error:
+        yield from chain([head], chunks)
+        return
+    yield from _pieces(chain([first], _until_broken(inner)), seen | {head})
+
+
+def _stream_pieces(wraps: int, chunks: Iterator[bytes]) -> Iterator[bytes]:
+    stream = zlib.decompressobj(wraps)
+    for chunk in chunks:
+        while chunk and not stream.eof:
+            if out := stream.decompress(chunk, WINDOW_CHARS):
+                yield out
+            chunk = stream.unconsumed_tail
+    while not stream.eof and (out := stream.decompress(b"", WINDOW_CHARS)):
+        yield out
+
+
+def _until_broken(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    try:
+        yield from pieces
+    except zlib.error:
+        return
+
+
+def _windows(raw: bytes) -> Iterator[str]:
+    """The text of a compressed layer of any size, cut where no secret or encoded part goes on."""
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    text, wanted = "", min(WINDOW_CHARS, LAYER_BYTES)
+    for piece in _pieces(iter([raw])):
+        # The number of blanks in a row tells nothing apart.
+        text = LONG_BLANKS.sub(" " * 64, text + decoder.decode(piece))
+        while len(text) >= wanted:
+            window = text[:wanted]
+            borders = [m.end() for m in BORDER.finditer(window, max(0, wanted - 4096))]
+            borders = borders or [m.end() for m in BORDER.finditer(window)]
+            if borders:
+                cut = next_start = borders[-1]
+            elif wanted < LAYER_BYTES:
+                wanted = min(2 * wanted, LAYER_BYTES)
+                continue
+            else:
+                cut, next_start = wanted, wanted - min(OVERLAP_CHARS, wanted // 2)
+            yield text[:cut]
+            text, wanted = text[next_start:], min(WINDOW_CHARS, LAYER_BYTES)
+    yield text + decoder.decode(b"", True)
+
+
+def _kinds_within(raw: bytes) -> set[str]:
+    """The kinds of secrets in a compressed layer of any size, and in what is encoded within it."""
+    kinds: set[str] = set()
+    for window in _windows(raw):
+        kinds |= {k for k, _, _ in find_secrets(window)[1]}
+        if len(kinds) == len(KINDS):
+            break
+    return kinds
+
+
 def _url(escapes: str) -> str | None:
     raw = bytes.fromhex(escapes.replace("%", ""))
     try:
@@ -147,14 +227,16 @@ DECODERS: tuple[tuple[str | None, re.Pattern, Callable[[str], str | None]], ...]
 )
 
 
-def _decoded(layer: Layer, pattern: re.Pattern, decode: Callable) -> tuple[Layer | None, int]:
-    """The layer with every part decoded that the decoder can read, and how many were too large."""
-    text, out, pieces, at, size, large = layer.text, [], [], 0, 0, 0
+def _decoded(
+    layer: Layer, pattern: re.Pattern, decode: Callable
+) -> tuple[Layer | None, list[tuple[int, int, bytes]]]:
+    """The layer with every part decoded that the decoder can read, and the parts too large."""
+    text, out, pieces, at, size, large = layer.text, [], [], 0, 0, []
     for m in pattern.finditer(text):
         try:
             new = decode(m.group())
-        except TooLarge:
-            large += 1
+        except TooLarge as found:
+            large.append((m.start(), m.end(), found.args[0]))
             continue
         if new is None or new == m.group():
             continue
@@ -179,23 +261,30 @@ def _digest(text: str) -> bytes:
 
 
 def find_secrets(text: str) -> tuple[list[Span], list[Span], int, int]:
-    """Base spans, all spans, layers read, and parts too large to unwrap.
+    """Base spans, all spans, layers read, and parts too large to unwrap at once.
 
     Layers wait in a list. Each is scanned once, its spans mapped to the
     original text, and each decoder makes at most one new layer of it. A layer
     whose text was seen before is not taken up again, so layers that decode to
-    each other end; a text without encoded parts ends at once.
+    each other end; a text without encoded parts ends at once. What is found
+    in a part too large to unwrap at once is mapped to the whole part.
     """
     base = scan(text)
     spans = {(s, KINDS.index(k), e) for k, s, e in base}
     waiting, seen, n_layers, large = [Layer(text)], {_digest(text)}, 1, 0
+    streamed: set[tuple[tuple[int, int], bytes]] = set()
     while waiting:
         layer = waiting.pop()
         for mark, pattern, decode in DECODERS:
             if mark is not None and mark not in layer.text:
                 continue
             child, refused = _decoded(layer, pattern, decode)
-            large += refused
+            for start, end, raw in refused:
+                if (key := (layer.origin(start, end), hashlib.blake2b(raw).digest())) in streamed:
+                    continue
+                streamed.add(key)
+                large += 1
+                spans |= {(key[0][0], KINDS.index(k), key[0][1]) for k in _kinds_within(raw)}
             if child is None or (key := _digest(child.text)) in seen:
                 continue
             seen.add(key)
@@ -255,7 +344,8 @@ def scan_documents(docs: DataFrame, text: str = "text", keep_text: bool = True)
     span found in a decoded layer covers the encoded parts it came from. Rows
     are scanned one by one, so repeated rows have equal results and an empty
     table gives none. ``n_too_large`` counts compressed parts that grow beyond
-    ``LAYER_BYTES`` and are left wrapped.
+    ``LAYER_BYTES``: these are scanned in windows, and what is found in one
+    covers the whole part.
     """
     kept = [c for c in docs.columns if c not in RESULT and (keep_text or c != text)]
     schema = _schema_with(docs.select(*kept), RESULT)

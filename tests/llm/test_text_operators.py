@@ -80,6 +80,30 @@ def test_cycles_end_and_bombs_are_counted(monkeypatch):
     assert secrets.find_secrets(bomb)[3] == 1
 
 
+@pytest.mark.parametrize("body", [
+    f"key {KEY} " + "word and " * 10_000, "word and " * 10_000 + f"key {KEY}",
+    "word and " * 500 + layers("gzip", f"key {KEY}") + " word and" * 500, "z" * 20_000 + KEY + "z" * 20_000,
+])
+def test_layers_too_large_at_once_are_scanned(monkeypatch, body):
+    monkeypatch.setattr(secrets, "LAYER_BYTES", 3000)
+    for kind in ("gzip", "zlib"):
+        part = layers(kind, body)
+        text = f"before {part} after"
+        _, spans, _, large = secrets.find_secrets(text)
+        assert large == 1 and ("access", 7, 7 + len(part)) in spans
+        assert part not in secrets.redacted(text, spans)
+
+
+def test_windows_lose_no_secret_at_their_borders(monkeypatch):
+    monkeypatch.setattr(secrets, "WINDOW_CHARS", 64)
+    for blanks in range(200):
+        text = "word and " * 20 + " " * (blanks % 40) + "xy " * blanks + f"password = {'x' * 20} tail, " * 3
+        raw = gzip.compress(text.encode())
+        windows = list(secrets._windows(raw))
+        assert "".join(windows) == text and len(windows) > 1
+        assert sum(len(secrets.scan(w)) for w in windows) == 3
+
+
 def test_clean_texts_stay(odd_docs, no_docs):
     rows = secrets.scan_documents(odd_docs.withColumn("spans", F.lit(1))).collect()
     assert len(rows) == odd_docs.count() and {r.spans for r in rows} == {""}
