@@ -101,23 +101,31 @@ def _wraps(raw: bytes) -> int:
 
 
 def _inflated(raw: bytes) -> bytes:
-    """What a gzip or zlib stream holds, down through streams within streams; else ``raw``."""
+    """What gzip or zlib members in a row hold, down through streams within streams; else ``raw``.
+
+    What follows the last member is kept if it is text; of one cut short what is there.
+    """
     seen = set()
     while raw not in seen:
         seen.add(raw)
-        wraps = _wraps(raw)
-        if not wraps:
-            break
-        stream = zlib.decompressobj(wraps)
-        try:
-            out = stream.decompress(raw, LAYER_BYTES + 1)
-        except zlib.error:
-            break
-        if len(out) > LAYER_BYTES:
-            raise TooLarge(raw)
-        if not stream.eof:
+        out, size, rest = [], 0, raw
+        while wraps := _wraps(rest):
+            stream = zlib.decompressobj(wraps)
+            try:
+                member = stream.decompress(rest, LAYER_BYTES + 1 - size)
+            except zlib.error:
+                break
+            size += len(member)
+            if size > LAYER_BYTES:
+                raise TooLarge(raw)
+            if member or stream.eof:
+                out.append(member)
+            rest = stream.unused_data.lstrip(b"\0")
+            if not stream.eof:
+                break
+        if not out:
             break
-        raw = out
+        raw = b"".join([*out, rest if _readable(rest) else b""])
     return raw
 
 
@@ -139,12 +147,31 @@ def _pieces(chunks: Iterator[bytes], seen: frozenset[bytes] = frozenset()) -> It
 
 
 def _stream_pieces(wraps: int, chunks: Iterator[bytes]) -> Iterator[bytes]:
-    stream = zlib.decompressobj(wraps)
+    """The members in a row, and what follows the last one."""
+    stream, rest, fresh = zlib.decompressobj(wraps), b"", False
     for chunk in chunks:
-        while chunk and not stream.eof:
-            if out := stream.decompress(chunk, WINDOW_CHARS):
+        rest += chunk
+        while rest:
+            if stream.eof:
+                rest = rest.lstrip(b"\0")
+                if len(rest) < 2:
+                    break
+                if not (wraps := _wraps(rest)):
+                    yield from chain([rest], chunks)
+                    return
+                stream, fresh = zlib.decompressobj(wraps), True
+            try:
+                out = stream.decompress(rest, WINDOW_CHARS)
+            except zlib.error:
+                # What only begins like another member is text.
+                if fresh:
+                    yield from chain([rest], chunks)
+                    return
+                raise
+            fresh = False
+            rest = stream.unused_data if stream.eof else stream.unconsumed_tail
+            if out:
                 yield out
-            chunk = stream.unconsumed_tail
     while not stream.eof and (out := stream.decompress(b"", WINDOW_CHARS)):
         yield out
 

@@ -94,6 +94,17 @@ def test_layers_too_large_at_once_are_scanned(monkeypatch, body):
         assert part not in secrets.redacted(text, spans)
 
 
+@pytest.mark.parametrize("limit", [64_000_000, 3000])
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress])
+def test_every_member_of_a_stream_is_read(monkeypatch, pack, limit):
+    monkeypatch.setattr(secrets, "LAYER_BYTES", limit)
+    for members in ([b"first ", f"key {KEY}".encode()], [b"word and " * 300, b"", b"more and " * 300, KEY.encode(), b" end"]):
+        part = base64.b64encode(b"".join(map(pack, members))).decode()
+        assert ("access", 7, 7 + len(part)) in secrets.find_secrets(f"before {part} after")[1]
+    part = base64.b64encode(pack(b"word and " * 900) + b"\0" * 9 + KEY.encode()).decode()
+    assert ("access", 0, len(part)) in secrets.find_secrets(part)[1]
+
+
 def test_windows_lose_no_secret_at_their_borders(monkeypatch):
     monkeypatch.setattr(secrets, "WINDOW_CHARS", 64)
     for blanks in range(200):
