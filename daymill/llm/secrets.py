@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import binascii
 import codecs
 import hashlib
 import re
@@ -32,7 +31,12 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 
 URL_ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|x[0-9A-Fa-f]{1,6});")
-BASE64_RUNS = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Runs, and the lines of runs that follow one another.
+BASE64_RUNS = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}(?:\r?\n[\t\x20]*[A-Za-z0-9+/_-]+={0,2})*")
+BASE64_LINES = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+BASE64_CHARS = 16
+# Of so many bytes or more, one in five may be unreadable.
+LOSSY_BYTES = 24
 ODD_CHARS = re.compile(r"[^\t\n\r\x20-\x7e\x85\xa0-퟿-�\U00010000-\U0010ffff]")
 
 # A compressed layer may grow to so many bytes; a larger one is counted, and scanned in windows.
@@ -92,6 +96,15 @@ def _readable(raw: bytes) -> str | None:
     return None if not text or ODD_CHARS.search(text) else text
 
 
+def _mostly_readable(raw: bytes) -> str | None:
+    """The text of these bytes, those that are none replaced, if most are readable."""
+    if len(raw) < LOSSY_BYTES:
+        return _readable(raw)
+    text = raw.decode("utf-8", "replace")
+    odd = sum(map(len, ODD_CHARS.findall(text))) + text.count("\ufffd")
+    return text if 5 * odd <= len(text) else None
+
+
 class TooLarge(Exception):
     """A compressed layer beyond ``LAYER_BYTES``; the argument is what to unwrap."""
 
@@ -218,10 +231,8 @@ def _kinds_within(raw: bytes) -> set[str]:
 
 def _url(escapes: str) -> str | None:
     raw = bytes.fromhex(escapes.replace("%", ""))
-    try:
-        return raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
+    text = raw.decode("utf-8", "replace")
+    return None if not text.strip("\ufffd") else text
 
 
 def _unicode(escapes: str) -> str | None:
@@ -230,51 +241,141 @@ def _unicode(escapes: str) -> str | None:
         code = int(digits[1:], 16) if digits[0] == "x" else int(digits)
         return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
     units = [int(x, 16) for x in re.findall(r"\\[ux]([0-9A-Fa-f]+)", escapes)]
-    try:
-        return b"".join(u.to_bytes(2, "little") for u in units).decode("utf-16-le")
-    except UnicodeDecodeError:
-        return None
+    text = b"".join(u.to_bytes(2, "little") for u in units).decode("utf-16-le", "replace")
+    return None if not text.strip("\ufffd") else text
+
+
+Part = tuple[int, int, str | TooLarge]
+
+
+def _whole(decode: Callable[[str], str | None]) -> Callable[[str], Iterator[Part]]:
+    """A decoder of a run as one part."""
+
+    def parts(run: str) -> Iterator[Part]:
+        text = decode(run)
+        if text is not None:
+            yield 0, len(run), text
+
+    return parts
+
+
+def _plain(run: str) -> str:
+    return run.rstrip("=").translate({0x2D: "+", 0x5F: "/"})
+
 
+def _bytes_of(body: str) -> bytes:
+    body = body[: len(body) - (len(body) % 4 == 1)]
+    return base64.b64decode(body + "=" * (-len(body) % 4))
 
-def _base64(run: str) -> str | None:
-    body = run.rstrip("=").translate({0x2D: "+", 0x5F: "/"})
-    if len(body) % 4 == 1:
+
+def _base64(body: str, read: Callable[[bytes], str | None], begins: bool = False) -> str | TooLarge | None:
+    """What base64 stands for; if ``begins``, only if its first bytes are text or a stream already."""
+    if begins and not _wraps(head := _bytes_of(body[:64])) and _mostly_readable(head) is None:
         return None
     try:
-        raw = base64.b64decode(body + "=" * (-len(body) % 4))
-    except (binascii.Error, ValueError):
-        return None
-    return _readable(_inflated(raw))
+        return read(_inflated(_bytes_of(body)))
+    except TooLarge as found:
+        return found
+
+
+def _words_of_run(body: str) -> Iterator[Part]:
+    for m in re.finditer(r"[A-Za-z0-9+]{16,}", body):
+        text = _base64(m.group(), _readable)
+        if text is not None:
+            yield m.start(), m.end(), text
+
+
+def _run_parts(run: str) -> Iterator[Part]:
+    """What a run holds: all of it, what follows a character that also parts words, or another phase."""
+    body = _plain(run)
+    text = _base64(body, _readable)
+    if text is not None:
+        yield 0, len(run), text
+        return
+    starts = [m.end() for m in re.finditer(r"[/_-]", run)]
+    for at, begins in [*((x, True) for x in starts), (0, False), (1, False), (2, False), (3, False)]:
+        if len(body) - at < BASE64_CHARS:
+            continue
+        text = _base64(body[at:], _mostly_readable, begins)
+        if text is not None:
+            if at > BASE64_CHARS:
+                yield from _words_of_run(run[: at - 1])
+            yield at, len(run), text
+            return
+    if starts:
+        yield from _words_of_run(run.rstrip("="))
 
 
-DECODERS: tuple[tuple[str | None, re.Pattern, Callable[[str], str | None]], ...] = (
-    ("%", URL_ESCAPES, _url),
-    (None, UNICODE_ESCAPES, _unicode),
-    (None, BASE64_RUNS, _base64),
+def _base64_parts(block: str) -> Iterator[Part]:
+    """The readable base64 in lines of runs.
+
+    A line and those after it of one length, and a shorter one after these,
+    are read as one text; lines that are no such text are read one by one.
+    """
+    lines = [m.span() for m in BASE64_LINES.finditer(block)]
+    width = [e - s for s, e in lines]
+    ended = [block[e - 1] == "=" for _, e in lines]
+    last = list(range(len(lines)))  # of the lines of one length
+    for i in range(len(lines) - 2, -1, -1):
+        if width[i] == width[i + 1] and not ended[i]:
+            last[i] = last[i + 1]
+    i = 0
+    while i < len(lines):
+        ends = []
+        if not ended[i] and i + 1 < len(lines):
+            end = last[i + 1]
+            longer = end + 1 < len(lines) and width[end + 1] < width[end] and not ended[end]
+            ends = [end + 1, end] if longer else [end]
+        inside = i > 0 and width[i] == width[i - 1]
+        for end in ends:
+            head = "".join(block[s:e] for s, e in lines[i : min(end + 1, i + 64)])[:64]
+            if inside and not _wraps(_bytes_of(_plain(head))) and _mostly_readable(_bytes_of(_plain(head))) is None:
+                continue
+            body = _plain("".join(block[s:e] for s, e in lines[i : end + 1]))
+            # A line of another length may be none of the block, so it has to fit whole.
+            alike = width[i] == width[i + 1] or end == i + 1 and width[end] < width[i]
+            read = _mostly_readable if alike else _readable
+            text = _base64(body, read) if len(body) >= BASE64_CHARS else None
+            if text is not None:
+                yield lines[i][0], lines[end][1], text
+                i = end + 1
+                break
+        else:
+            s, e = lines[i]
+            if e - s >= BASE64_CHARS:
+                for start, end, text in _run_parts(block[s:e]):
+                    yield s + start, s + end, text
+            i += 1
+
+
+DECODERS: tuple[tuple[str | None, re.Pattern, Callable[[str], Iterator[Part]]], ...] = (
+    ("%", URL_ESCAPES, _whole(_url)),
+    (None, UNICODE_ESCAPES, _whole(_unicode)),
+    (None, BASE64_RUNS, _base64_parts),
 )
 
 
 def _decoded(
-    layer: Layer, pattern: re.Pattern, decode: Callable
+    layer: Layer, pattern: re.Pattern, decode: Callable[[str], Iterator[Part]]
 ) -> tuple[Layer | None, list[tuple[int, int, bytes]]]:
     """The layer with every part decoded that the decoder can read, and the parts too large."""
     text, out, pieces, at, size, large = layer.text, [], [], 0, 0, []
     for m in pattern.finditer(text):
-        try:
-            new = decode(m.group())
-        except TooLarge as found:
-            large.append((m.start(), m.end(), found.args[0]))
-            continue
-        if new is None or new == m.group():
-            continue
-        if m.start() > at:
-            pieces.append((size, at, m.start(), True))
-            out.append(text[at : m.start()])
-            size += m.start() - at
-        pieces.append((size, m.start(), m.end(), False))
-        out.append(new)
-        size += len(new)
-        at = m.end()
+        for start, end, new in decode(m.group()):
+            start, end = m.start() + start, m.start() + end
+            if isinstance(new, TooLarge):
+                large.append((start, end, new.args[0]))
+                continue
+            if new == text[start:end]:
+                continue
+            if start > at:
+                pieces.append((size, at, start, True))
+                out.append(text[at:start])
+                size += start - at
+            pieces.append((size, start, end, False))
+            out.append(new)
+            size += len(new)
+            at = end
     if not pieces:
         return None, large
     if at < len(text):

@@ -105,6 +105,48 @@ def test_every_member_of_a_stream_is_read(monkeypatch, pack, limit):
     assert ("access", 0, len(part)) in secrets.find_secrets(part)[1]
 
 
+def wrapped(part, width=76, end="\n"):
+    return end.join(part[i : i + width] for i in range(0, len(part), width))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("kind", ["base64", "urlsafe", "gzip", "zlib"])
+def test_base64_over_several_lines_is_one_part(kind, end):
+    rng = random.Random(3)
+    body = "".join(rng.choice("abc xyz") for _ in range(40)) + f" {KEY} " + "".join(rng.choice("abc xyz") for _ in range(200))
+    block = wrapped(layers(kind, body), end=end)
+    assert end in block
+    for text in (f"see:\n{block}\n", f"x {block}\nEND of it", f"internationalization\n{block}\nwords"):
+        spans = [(s, e) for k, s, e in secrets.find_secrets(text)[1] if k == "access"]
+        at = text.index(block)
+        assert any(at <= s and e <= at + len(block) for s, e in spans)
+        assert block not in secrets.redacted(text, secrets.find_secrets(text)[1])
+
+
+@pytest.mark.parametrize("before", ["/download/", "a-", "key_", "x", "xy", "xyz", "/a/some/long/path/"])
+@pytest.mark.parametrize("after", ["", "/tail"])
+def test_base64_after_other_characters_is_found(before, after):
+    part = layers("urlsafe", f"the key is {KEY} and so on and so on")
+    text = f"GET {before}{part}{after} now"
+    spans = [(s, e) for k, s, e in secrets.find_secrets(text)[1] if k == "access"]
+    assert spans and all(4 <= s and e <= len(text) - 4 for s, e in spans)
+
+
+def test_two_parts_of_a_path_are_both_found():
+    for tail in ("", "a", "ab", "abc"):
+        one, two = (layers("urlsafe", f"{w} {KEY} and more{tail}") for w in ("first", "second"))
+        text = f"GET /{one}/{two} now"
+        clean = secrets.redacted(text, secrets.find_secrets(text)[1])
+        assert one not in clean and two not in clean
+
+
+def test_unreadable_bytes_do_not_hide_a_layer():
+    for raw in (f"a page\x0c with {KEY} here".encode(), b"caf\xe9 with the key " + KEY.encode() + b" in it"):
+        assert ("access", 0, len(base64.b64encode(raw))) in secrets.find_secrets(base64.b64encode(raw).decode())[1]
+    assert [k for k, _, _ in secrets.find_secrets("%FF" + layers("url", KEY))[1]] == ["access"]
+    assert [k for k, _, _ in secrets.find_secrets("\\ud800" + layers("unicode", KEY))[1]] == ["access"]
+
+
 def test_windows_lose_no_secret_at_their_borders(monkeypatch):
     monkeypatch.setattr(secrets, "WINDOW_CHARS", 64)
     for blanks in range(200):
