@@ -8,6 +8,7 @@ leads to first (optimal densification). Bands of bins make bucket keys.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -243,27 +244,32 @@ def link_stars(
 def _block_links(minors: list, members: list, percent: int) -> list[tuple[int, int]]:
     """Links between two lists of (id, component, set), one for each id and component linked."""
     known = np.unique(np.concatenate([m[2] for m in minors]))
-    places, sizes = [], np.array([len(m[2]) for m in members])
-    for _, _, found in members:
+    # Neither a slice of a side nor what two of them share has more cells than this.
+    step = max(1, min(BLOCK_CELLS // max(1, len(known)), math.isqrt(BLOCK_CELLS)))
+    links = {}
+    for at in range(0, len(members), step):
+        others = members[at : at + step]
+        table, sizes = _table(others, known), np.array([len(m[2]) for m in others])
+        for start in range(0, len(minors), step):
+            some = minors[start : start + step]
+            both = _table(some, known) @ table.T  # whole numbers far below 2^24, so exact
+            own = np.array([len(m[2]) for m in some])[:, None]
+            alike = 100 * both >= percent * (own + sizes[None, :] - both)
+            for row, column in zip(*np.nonzero(alike)):
+                (a, mine), (b, other) = some[row][:2], others[column][:2]
+                if mine != other:
+                    links[a, other] = (a, b)
+    return list(links.values())
+
+
+def _table(docs: list, known: np.ndarray) -> np.ndarray:
+    """A row for each set: 1 for each of the known shingles that it has."""
+    table = np.zeros((len(docs), len(known)), np.float32)
+    for row, (_, _, found) in enumerate(docs):
         at = np.searchsorted(known, found)
         at[at == len(known)] = 0
-        places.append(at[known[at] == found])
-    table = np.zeros((len(members), len(known)), np.float32)
-    for row, at in enumerate(places):
-        table[row, at] = 1
-    links = []
-    step = max(1, BLOCK_CELLS // max(1, len(known)))
-    for start in range(0, len(minors), step):
-        some = minors[start : start + step]
-        asked = np.zeros((len(some), len(known)), np.float32)
-        for row, (_, _, found) in enumerate(some):
-            asked[row, np.searchsorted(known, found)] = 1
-        both = asked @ table.T  # whole numbers far below 2^24, so exact
-        own = np.array([len(m[2]) for m in some])[:, None]
-        alike = 100 * both >= percent * (own + sizes[None, :] - both)
-        for row, column in zip(*np.nonzero(alike)):
-            links.append((some[row][:2], members[column][:2]))
-    return list({(a[0], b[1]): (a[0], b[0]) for a, b in links if a[1] != b[1]}.values())
+        table[row, at[known[at] == found]] = 1
+    return table
 
 
 def link_rest(

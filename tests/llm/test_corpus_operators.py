@@ -174,6 +174,22 @@ def test_densified_bins_agree_like_the_sets():
     assert abs(np.mean(agree) - 0.8) < 0.03
 
 
+def test_blocks_are_compared_in_bounded_slices(monkeypatch):
+    rng = random.Random(8)
+    docs = [(i, i % 7, np.unique(np.array(rng.sample(range(14), 10), np.uint64))) for i in range(300)]
+    minors, members = docs[:120], docs
+    want = {
+        (a[0], b[1]) for a in minors for b in members if a[1] != b[1]
+        and 100 * len(np.intersect1d(a[2], b[2])) >= 80 * len(np.union1d(a[2], b[2]))
+    }
+    monkeypatch.setattr(near_dedup, "BLOCK_CELLS", 1000)
+    cells, zeros = [], np.zeros
+    monkeypatch.setattr(near_dedup.np, "zeros", lambda shape, *a: cells.append(math.prod(shape)) or zeros(shape, *a))
+    links = near_dedup._block_links(minors, members, 80)
+    assert want and max(cells) <= 1000
+    assert len(links) == len(want) and {(a, b % 7) for a, b in links} == want
+
+
 # Nearest neighbours
 
 
