@@ -58,12 +58,3 @@ def orders(spark):
         return spark.createDataFrame(typed, "order_dt TIMESTAMP_NTZ, amount DECIMAL(18,2)")
 
     return build
-
-
-def tuples(df, *order):
-    """Rows as tuples, sorted by all columns unless told otherwise."""
-    return [tuple(r) for r in df.orderBy(*(order or df.columns)).collect()]
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

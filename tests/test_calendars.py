@@ -1,7 +1,7 @@
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
-from conftest import plan_of, tuples
+from frames import plan_of, tuples
 from pyspark.sql import functions as F
 
 from daymill.plans import calendars as C

@@ -1,6 +1,6 @@
 from datetime import date, datetime, timezone
 
-from conftest import tuples
+from frames import tuples
 
 from daymill.operators.summaries import daily_summary
 from daymill.plans import calendars, loads, tables

@@ -2,7 +2,7 @@ from datetime import date, datetime, timezone
 from zoneinfo import ZoneInfo
 
 import pytest
-from conftest import tuples
+from frames import tuples
 from pyspark.sql import functions as F
 
 from daymill.functions import clock, text

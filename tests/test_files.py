@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import tuples
+from frames import tuples
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 

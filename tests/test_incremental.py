@@ -2,7 +2,7 @@ from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
-from conftest import tuples
+from frames import tuples
 
 from daymill.operators.summaries import daily_summary
 from daymill.plans import tables

@@ -2,7 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import plan_of, tuples
+from frames import plan_of, tuples
 from pyspark.sql import functions as F
 
 from daymill.functions import clock

@@ -1,7 +1,7 @@
 from datetime import date, datetime, timezone
 
 import pytest
-from conftest import plan_of, tuples
+from frames import plan_of, tuples
 
 from daymill.operators.summaries import daily_summary, hourly_count
 from daymill.plans import loads, sql_files, tables

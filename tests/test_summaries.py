@@ -4,7 +4,7 @@ from datetime import date, datetime, time, timedelta, timezone
 from decimal import Decimal
 
 import pytest
-from conftest import plan_of, tuples
+from frames import plan_of, tuples
 from pyspark.sql import functions as F
 
 from daymill.operators import filters, intervals, summaries

@@ -2,7 +2,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import plan_of, tuples
+from frames import plan_of, tuples
 from pyspark.errors import AnalysisException
 
 from daymill.operators.constraints import (
