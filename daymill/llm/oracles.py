@@ -106,4 +106,59 @@ SELECT doc_id, size, source_size, target,
 FROM ranked JOIN rates USING (skey)
 """
 
-ORACLES = {"op3_quality_rules": OP3, "op5_url_filter": OP5, "op7_mixing": OP7}
+ROUNDS_13 = 6
+
+
+def _nearest(books: str) -> str:
+    """Each part with its nearest entry and the squared distance to it."""
+    return f"""
+    SELECT r, p, v, (least_of % 16)::INT AS e, least_of // 16 AS d FROM (
+        SELECT r, p, any_value(v) AS v,
+               min(list_sum(list_transform(list_zip(v, c), lambda x: (x[1] - x[2]) * (x[1] - x[2])))::HUGEINT * 16 + e) AS least_of
+        FROM parts JOIN {books} USING (p) GROUP BY r, p
+    )
+    """
+
+
+def _means(assigned: str, books: str) -> str:
+    """Entries after a round: sums divided and rounded down; unused entries stay."""
+    return f"""
+    SELECT p, e, coalesce(m.c, b.c) AS c FROM {books} b LEFT JOIN (
+        SELECT p, e, list((total - ((total % n) + n) % n) // n ORDER BY j) AS c FROM (
+            SELECT p, e, j, sum(x)::HUGEINT AS total, count(*)::HUGEINT AS n FROM (
+                SELECT p, e, unnest(v) AS x, unnest(range(len(v))) AS j FROM {assigned}
+            ) GROUP BY p, e, j
+        ) GROUP BY p, e
+    ) m USING (p, e)
+    """
+
+
+_CHAIN = ", ".join(
+    f"a{k} AS MATERIALIZED ({_nearest(f'b{k}')}), b{k + 1} AS MATERIALIZED ({_means(f'a{k}', f'b{k}')})"
+    for k in range(ROUNDS_13)
+)
+
+OP13 = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, label,
+           list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS whole
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT r, vec_id, p, whole[p * len(whole) // 8 + 1 : (p + 1) * len(whole) // 8] AS v
+    FROM kept, (SELECT unnest(range(8))::INT AS p)
+), b0 AS MATERIALIZED (
+    SELECT p, (dense_rank() OVER (ORDER BY vec_id) - 1)::INT AS e, v AS c
+    FROM parts WHERE r IN (SELECT r FROM kept ORDER BY vec_id LIMIT 16)
+), {_CHAIN}, last AS MATERIALIZED ({_nearest(f'b{ROUNDS_13}')}), coded AS (
+    SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM last GROUP BY r
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b{ROUNDS_13}) AS codebooks_sha256
+FROM coded JOIN kept USING (r)
+"""
+
+ORACLES = {
+    "op3_quality_rules": OP3, "op5_url_filter": OP5, "op7_mixing": OP7, "op13_vector_codes": OP13,
+}

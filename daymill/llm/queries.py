@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymill.llm import (
-    byte_bpe, mixing, near_dedup, neighbours, quality_model, quality_rules, secrets, sharding,
-    token_files, url_filter,
+    byte_bpe, language_id, mixing, near_dedup, neighbours, quality_model, quality_rules, secrets,
+    sharding, spelling, token_files, url_filter, vector_codes,
 )
 from daymill.llm.oracles import ORACLES
 from daymill.llm.shared import whole_text, word_count
@@ -115,10 +115,33 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs.filter(~language_id.held_out(F.col("doc_id"))))
+    predicted = language_id.predict(docs.select("doc_id", "text"), model)
+    held_out = language_id.held_out(F.col("doc_id")).alias("held_out")
+    return predicted.select("doc_id", held_out, "lang_pred", "score")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    codes, codebooks = vector_codes.compress(vectors)
+    found = vector_codes.with_label_errors(codes)
+    return found.select(
+        "vec_id", "code", "error", "label_error",
+        F.lit(vector_codes.checksum(codebooks)).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_quality_scores, op3_quality_rules, op4_near_duplicates,
         op5_url_filter, op6_sharding, op7_mixing, op8_token_files, op9_byte_bpe, op10_nearest,
+        op11_language_id, op12_spelling_variants, op13_vector_codes,
     )
 }
