@@ -240,7 +240,7 @@ def _blocks(vectors: DataFrame, parts: int, scale: int) -> DataFrame:
 
     def block(table: pa.Table) -> dict:
         values = table["vector"].combine_chunks()
-        points = whole_numbers(values.values.to_numpy(zero_copy_only=False), scale).reshape(len(table), parts, -1)
+        points = whole_numbers(values.flatten().to_numpy(zero_copy_only=False), scale).reshape(len(table), parts, -1)
         bounds = _levels(len(table))
         orders, rows, kept = [], [], []
         for position in range(parts):
@@ -330,6 +330,13 @@ def train(blocks: DataFrame, first: np.ndarray, rounds: int) -> np.ndarray:
 def _codes(blocks: DataFrame, codebooks: np.ndarray, label: str) -> DataFrame:
     parts = len(codebooks)
 
+    if not codebooks.size:
+        nothing = F.lit(None)
+        return blocks.select(F.explode(F.arrays_zip("vec_ids", "labels")).alias("x")).select(
+            F.col("x.vec_ids").alias("vec_id"), F.col("x.labels").alias("label"),
+            nothing.cast("string").alias("code"), nothing.cast("bigint").alias("error"),
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = [entry_tree(book) for book in codebooks]
         for batch in batches:
@@ -376,7 +383,8 @@ def compress(
     part, nor do those of another length than the commonest that ``parts``
     divides, nor those with components of 2**27 or more as whole numbers, whose
     errors might not fit 64 bits. Rows without an id are coded but start no
-    entry; null labels are kept; repeated rows are coded alike. A table without
+    entry; if no row has an id, codes and errors are null. Null labels are kept; repeated
+    rows are coded alike. A table without
     vectors gives no rows and codebooks without entries. Other columns are not
     looked at. This call runs a job for each round; what comes to the driver is
     the codebooks.
@@ -394,8 +402,6 @@ def compress(
         points = whole_numbers(np.array([r.vector for r in seeds]), scale)
         codebooks = points.reshape(len(seeds), parts, -1).transpose(1, 0, 2).copy()
         codebooks = train(blocks, codebooks, rounds)
-    elif not blocks.isEmpty():
-        raise ValueError("no vector has an id to start codebooks from")
     return _codes(blocks, codebooks, vectors.schema[label].dataType.simpleString()), codebooks
 
 
