@@ -11,9 +11,10 @@ its length, is at least a threshold, which bounds how many there can be.
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,13 @@ UNDETERMINED = "und"
 MOST_KNOWN, MOST_CELLS = 100_000, 2_000_000
 SMOOTHING = 0.5
 
-# Counts are passed on when so many differ or take so many characters.
-MOST_COUNTED, MOST_COUNTED_CHARS = 300_000, 8_000_000
-# Unknown words that a task remembers, and the longest of them.
-MOST_REMEMBERED, LONGEST_REMEMBERED = 150_000, 40
+# Counts are passed on when so many differ, or after so many characters of text.
+MOST_COUNTED, MOST_COUNTED_CHARS = 300_000, 50_000_000
+# Unknown words that a task remembers, and their characters; words that are looked up together.
+MOST_REMEMBERED, MOST_REMEMBERED_CHARS = 400_000, 16_000_000
+GROUP_WORDS = 100_000
 # Texts beyond this many characters are read word by word.
-LONG_TEXT = 4_000_000
+LONG_TEXT = 1_000_000
 
 
 def words_in(text: str) -> Iterable[str]:
@@ -57,53 +59,50 @@ def runs_in(word: str, length: int) -> list[str]:
     return [padded[i : i + length] for i in range(len(padded) - length + 1)]
 
 
-class _Counts:
-    """Counts by key, handed out in batches before they grow large."""
+def _handed_out(counts: dict[str, Counter], sized: bool) -> pa.RecordBatch:
+    """Counts by language and item, which are emptied."""
+    langs, items, numbers = [], [], []
+    for lang, of in counts.items():
+        langs += [lang] * len(of)
+        items += of.keys()
+        numbers += of.values()
+    counts.clear()
+    columns = {"lang": pa.array(langs, pa.string()), "item": pa.array(items, pa.string()), "n": pa.array(numbers, pa.int64())}
+    if sized:
+        columns["size"] = pa.array(map(len, items), pa.int32())
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    def __init__(self, names: list[str], types: list[pa.DataType]):
-        self.schema = pa.schema(list(zip(names, types)))
-        self.counts: Counter = Counter()
-        self.chars = 0
-
-    def add(self, key: tuple, n: int) -> None:
-        if key not in self.counts:
-            self.chars += len(key[-1])
-        self.counts[key] += n
-
-    def full(self) -> bool:
-        return len(self.counts) >= MOST_COUNTED or self.chars >= MOST_COUNTED_CHARS
 
-    def taken(self) -> pa.RecordBatch:
-        columns = [*zip(*self.counts)] or [()] * (len(self.schema) - 1)
-        columns = [*columns, list(self.counts.values())]
-        self.counts, self.chars = Counter(), 0
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, self.schema)], schema=self.schema
-        )
+def _full(counts: dict[str, Counter]) -> bool:
+    return sum(map(len, counts.values())) >= MOST_COUNTED
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found = _Counts(["lang", "word", "n"], [pa.string(), pa.string(), pa.int64()])
+    counts, chars = defaultdict(Counter), 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            for word, n in Counter(words_in(text.as_py())).items():
-                found.add((lang, word), n)
-            if found.full():
-                yield found.taken()
-    yield found.taken()
+            text = text.as_py()
+            counts[lang].update(words_in(text))
+            chars += len(text)
+            if chars >= MOST_COUNTED_CHARS or _full(counts):
+                yield _handed_out(counts, False)
+                chars = 0
+    yield _handed_out(counts, False)
 
 
 def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names, types = ["lang", "size", "run", "n"], [pa.string(), pa.int32(), pa.string(), pa.int64()]
-    found = _Counts(names, types)
+    counts = defaultdict(Counter)
     for batch in batches:
         for lang, word, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            of = counts[lang]
             for size in RUNS:
                 for run in runs_in(word, size):
-                    found.add((lang, size, run), n)
-            if found.full():
-                yield found.taken()
-    yield found.taken()
+                    of[run] += n
+            if len(of) >= MOST_COUNTED:
+                yield _handed_out(counts, True)
+        if _full(counts):
+            yield _handed_out(counts, True)
+    yield _handed_out(counts, True)
 
 
 @dataclass
@@ -121,17 +120,29 @@ class Model:
     word_rows: np.ndarray | None = None
     run_rows: np.ndarray | None = None
 
-    def of_unknown(self, word: str) -> np.ndarray:
-        """The mean row of the longest known runs at each place of a word."""
+    def runs_of(self, word: str) -> list[int]:
+        """Rows of the longest known run at each place of a word."""
         padded, rows, find = f" {word} ", [], self.runs.get
         for i in range(len(padded)):
-            for size in RUNS:
-                if i + size <= len(padded) and (row := find(padded[i : i + size])) is not None:
+            for end in range(min(i + RUNS[0], len(padded)), i, -1):
+                row = find(padded[i:end])
+                if row is not None:
                     rows.append(row)
                     break
-        if not rows:
-            return np.zeros(len(self.languages), np.float32)
-        return self.run_rows[rows].mean(axis=0, dtype=np.float64).astype(np.float32)
+        return rows
+
+    def of_unknown(self, words: list[str]) -> np.ndarray:
+        """For each word, the mean row of the longest known runs at its places; zeros without any."""
+        rows = [self.runs_of(w) for w in words]
+        lengths = np.array([len(r) for r in rows])
+        means = np.zeros((len(words), len(self.languages)), np.float32)
+        some = lengths > 0
+        if some.any():
+            flat = np.fromiter(chain.from_iterable(rows), np.int64, lengths.sum())
+            starts = np.r_[0, np.cumsum(lengths[some])[:-1]]
+            sums = np.add.reduceat(self.run_rows[flat].astype(np.float64), starts, axis=0)
+            means[some] = sums / lengths[some][:, None]
+        return means
 
 
 def _known(counts: DataFrame, totals: dict, group: list[str], item: str, languages: int) -> DataFrame:
@@ -177,13 +188,13 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Model:
     if not languages:
         return model
     words = written(
-        known.filter("text IS NOT NULL").mapInArrow(_count_words, "lang string, word string, n bigint")
-        .groupBy("lang", "word").agg(F.sum("n").alias("n")),
+        known.filter("text IS NOT NULL").mapInArrow(_count_words, "lang string, item string, n bigint")
+        .groupBy("lang", F.col("item").alias("word")).agg(F.sum("n").alias("n")),
         "language-words",
     )
     runs = written(
-        words.mapInArrow(_count_runs, "lang string, size int, run string, n bigint")
-        .groupBy("lang", "size", "run").agg(F.sum("n").alias("n")),
+        words.mapInArrow(_count_runs, "lang string, item string, n bigint, size int")
+        .groupBy("lang", "size", F.col("item").alias("run")).agg(F.sum("n").alias("n")),
         "language-runs",
     )
     totals = {(r.lang,): r.n for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
@@ -204,55 +215,69 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Model:
     return model
 
 
-class _Rows(dict):
-    """Rows by word; those of unknown words are made when first asked for, and forgotten when many."""
+class _Evidence:
+    """Sums of rows by text; rows of unknown words are kept until they are many."""
 
     def __init__(self, model: Model):
-        super().__init__()
-        self.model, self.known = model, len(model.words)
-        self.made: list[np.ndarray] = []
-
-    def __missing__(self, word: str) -> int:
-        row = self.model.words.get(word)
-        if row is None:
-            row = self.known + len(self.made)
-            self.made.append(self.model.of_unknown(word))
-        self[word] = row
-        return row
-
-    def sums(self, words: list[str]) -> np.ndarray:
-        """The rows of the words, added up."""
-        if len(self) > MOST_REMEMBERED:
-            self.clear()
-            self.made.clear()
-        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        known = rows < self.known
-        total = np.zeros(len(self.model.languages))
-        if known.any():
-            total += self.model.word_rows[rows[known]].sum(axis=0, dtype=np.float64)
-        if not known.all():
-            places, times = np.unique(rows[~known] - self.known, return_counts=True)
-            total += times @ np.array([self.made[p] for p in places], dtype=np.float64)
-        return total
-
-
-def _judge(model: Model, rows: _Rows, text: str | None) -> tuple[str, float]:
-    total, part, some = model.prior.copy(), [], False
-    for word in words_in(text or ""):
-        some = True
-        if len(word) > LONGEST_REMEMBERED and word not in model.words:
-            total += model.of_unknown(word)
-        else:
-            part.append(word)
-            if len(part) == 100_000:
-                total += rows.sums(part)
-                part = []
-    if not some or not model.languages:
-        return UNDETERMINED, 0.0
-    if part:
-        total += rows.sums(part)
-    best = int(total.argmax())  # the first of equals
-    return model.languages[best], float(1 / np.exp(total - total[best]).sum())
+        self.model = model
+        known = len(model.words)
+        self.table = np.zeros((known + MOST_REMEMBERED, len(model.languages)), np.float32)
+        if known:
+            self.table[:known] = model.word_rows
+        self.place: dict[str, int] = dict(model.words)
+        self.chars = 0
+
+    def _make_room(self, words: int) -> None:
+        if len(self.place) + words > len(self.table) or self.chars > MOST_REMEMBERED_CHARS:
+            self.place, self.chars = dict(self.model.words), 0
+
+    def sums(self, texts: list[list[str]]) -> np.ndarray:
+        """A row for each list of words, none of them empty; up to ``MOST_REMEMBERED`` words in all."""
+        place = self.place
+        new = list({w for words in texts for w in words if w not in place})
+        if new:
+            self._make_room(len(new))
+            if self.place is not place:
+                place = self.place
+                new = list({w for words in texts for w in words if w not in place})
+            self.table[len(place) : len(place) + len(new)] = self.model.of_unknown(new)
+            place.update(zip(new, range(len(place), len(place) + len(new))))
+            self.chars += sum(map(len, new))
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        rows = np.fromiter(map(place.__getitem__, chain.from_iterable(texts)), np.int64, lengths.sum())
+        return np.add.reduceat(self.table[rows].astype(np.float64), np.r_[0, np.cumsum(lengths)[:-1]], axis=0)
+
+
+def _judged(evidence: _Evidence, texts: Iterable[str | None]) -> Iterator[tuple[str, float]]:
+    """Language and score of each text; those of usual length are looked up in groups."""
+    model, group, words = evidence.model, [], 0
+
+    def judged(sums: np.ndarray) -> tuple[str, float]:
+        total = model.prior + sums
+        best = int(total.argmax())  # the first of equals
+        return model.languages[best], float(1 / np.exp(total - total[best]).sum())
+
+    def answers() -> Iterator[tuple[str, float]]:
+        some = [found for found in group if found]
+        sums = iter(evidence.sums(some)) if some else iter(())
+        for found in group:
+            yield judged(next(sums)) if found else (UNDETERMINED, 0.0)
+
+    for text in texts:
+        found = words_in(text or "") if model.languages else []
+        if not isinstance(found, list):  # a very long text, in pieces
+            yield from answers()
+            group, words = [], 0
+            pieces = iter(lambda found=found: list(islice(found, GROUP_WORDS)), [])
+            sums = [evidence.sums([piece])[0] for piece in pieces]
+            yield judged(sum(sums)) if sums else (UNDETERMINED, 0.0)
+            continue
+        group.append(found)
+        words += len(found)
+        if words >= GROUP_WORDS:
+            yield from answers()
+            group, words = [], 0
+    yield from answers()
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -271,10 +296,10 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     schema = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        found = _Rows(model)
+        evidence = _Evidence(sent.value)
         for batch in batches:
-            judged = [_judge(model, found, t.as_py()) for t in batch.column(batch.num_columns - 1)]
+            texts = (t.as_py() for t in batch.column(batch.num_columns - 1))
+            judged = list(_judged(evidence, texts))
             langs, scores = zip(*judged) if judged else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
