@@ -45,7 +45,8 @@ class Extent:
 
     ``ranges`` hold all its intervals, ``width`` is that of the buckets they are
     cut to, ``pieces`` how many these are, ``whole_days`` tells whether all
-    start and end at midnight, and ``repeats`` whether one may be listed twice.
+    start and end at midnight, ``repeats`` whether one may be listed twice, and
+    ``overlap`` in how many intervals a covered moment lies on average.
     """
 
     ranges: tuple[Range, ...]
@@ -53,6 +54,7 @@ class Extent:
     pieces: int
     whole_days: bool
     repeats: bool
+    overlap: float
 
 
 def _last_moment() -> Column:
@@ -70,19 +72,14 @@ def bucket_of(moment: Column, width: int) -> Column:
 
 
 def _fitting_width(intervals: int, pieces: Mapping[int, int]) -> tuple[int, int]:
-    fitting = [w for w in WIDTHS if pieces[w] <= MEAN_PIECES * intervals]
+    fitting = [w for w in pieces if pieces[w] <= MEAN_PIECES * intervals]
     width = min(fitting, default=DAY_SECONDS)
     return width, pieces[width]
 
 
 def covering_ranges(intervals: Iterable[Range]) -> tuple[Range, ...]:
     """Few ranges that hold all intervals and leave out the widest gaps between them."""
-    merged: list[Range] = []
-    for start, end in sorted(intervals):
-        if merged and start <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
-        else:
-            merged.append((start, end))
+    merged = _merged(intervals)
     gaps = [(after[0] - before[1], after[0]) for before, after in pairwise(merged)]
     widest = sorted((g for g in gaps if g[0] >= WORTHWHILE_GAP), reverse=True)[: MAX_RANGES - 1]
     cuts = {start for _, start in widest}
@@ -95,46 +92,103 @@ def covering_ranges(intervals: Iterable[Range]) -> tuple[Range, ...]:
     return tuple(ranges)
 
 
+def _overlap(seconds: float, ranges: Iterable[Range]) -> float:
+    covered = sum((end - start).total_seconds() for start, end in ranges)
+    return seconds / covered if covered else 0.0
+
+
+def _merged(intervals: Iterable[Range]) -> list[Range]:
+    """Disjoint ranges of what the intervals cover, in order."""
+    merged: list[Range] = []
+    for start, end in sorted(intervals):
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+        else:
+            merged.append((start, end))
+    return merged
+
+
+def _listed_extent(listed: list[Range]) -> Extent:
+    """The extent of intervals at hand. Widths are tried from the widest, as far as they fit."""
+    midnight = datetime.min.time()
+    whole = all(s.time() == midnight == e.time() for s, e in listed)
+    lasts = [(s, e - timedelta(microseconds=1)) for s, e in listed]
+
+    def second(moment: datetime) -> int:
+        return moment.hour * 3_600 + moment.minute * 60 + moment.second
+
+    def pieces(width: int) -> int:
+        a_day = DAY_SECONDS // width
+        return sum(
+            (last.date() - start.date()).days * a_day + second(last) // width - second(start) // width + 1
+            for start, last in lasts
+        )
+
+    widths = WIDTHS[:1] if whole else WIDTHS
+    width, count = _fitting_width(len(listed), {w: pieces(w) for w in widths})
+    seconds = sum((e - s).total_seconds() for s, e in listed)
+    return Extent(
+        covering_ranges(listed), width, count, whole, len(set(listed)) < len(listed),
+        _overlap(seconds, _merged(listed)),
+    )
+
+
+def _covered_days(measured: DataFrame) -> list[Range]:
+    """Disjoint ranges of whole days that hold all intervals.
+
+    Starts and ends are counted by day where they lie, so what is collected has
+    a row for each day at most, not for each interval.
+    """
+    edges = F.array(
+        F.struct(F.to_date("interval_start").alias("day"), F.lit(1).alias("opened")),
+        F.struct(F.date_add(F.to_date(_last_moment()), 1).alias("day"), F.lit(-1).alias("opened")),
+    )
+    changes = measured.select(F.inline(edges)).groupBy("day").agg(F.sum("opened").alias("opened"))
+    ranges, still_open, since = [], 0, None
+    for day, opened in sorted(map(tuple, changes.where("opened != 0").collect())):
+        if not still_open:
+            since = day
+        still_open += opened
+        if not still_open:
+            ranges.append(tuple(datetime(d.year, d.month, d.day) for d in (since, day)))
+    return ranges
+
+
 def calendar_extent(calendar: DataFrame) -> Extent | None:
     """Measure a calendar; ``None`` if it has no interval.
 
-    A calendar too long to list is measured in one row, without its gaps.
+    Of a calendar too long to list, only sums and the days it covers are taken.
     """
+    given = calendar.where("interval_start < interval_end").select("interval_start", "interval_end")
+    listed = given.limit(LISTED_INTERVALS + 1).collect()
+    if not listed:
+        return None
+    if len(listed) <= LISTED_INTERVALS:
+        return _listed_extent([tuple(r) for r in listed])
     days = F.datediff(F.to_date(_last_moment()), F.to_date("interval_start")).cast("bigint")
 
     def pieces(width: int) -> Column:
         first, last = (bucket_of(m, width) for m in (F.col("interval_start"), _last_moment()))
-        return (days * (DAY_SECONDS // width) + last - first + 1).alias(f"of_{width}")
+        return days * (DAY_SECONDS // width) + last - first + 1
 
-    measured = calendar.where("interval_start < interval_end").select(
-        "interval_start",
-        "interval_end",
-        *map(pieces, WIDTHS),
-        (_at_midnight("interval_start") & _at_midnight("interval_end")).alias("whole"),
-    )
-    listed = measured.limit(LISTED_INTERVALS + 1).collect()
-    if not listed:
-        return None
-    if len(listed) <= LISTED_INTERVALS:
-        intervals = {(r.interval_start, r.interval_end) for r in listed}
-        return Extent(
-            covering_ranges(intervals),
-            *_fitting_width(len(listed), {w: sum(r[f"of_{w}"] for r in listed) for w in WIDTHS}),
-            all(r.whole for r in listed),
-            len(intervals) < len(listed),
-        )
-    total = measured.agg(
+    length = F.unix_micros(F.col("interval_end").cast("timestamp")) - F.unix_micros(F.col("interval_start").cast("timestamp"))
+    total = given.agg(
         F.min("interval_start").alias("start"),
         F.max("interval_end").alias("end"),
         F.count("*").alias("intervals"),
-        *(F.sum(f"of_{w}").alias(f"of_{w}") for w in WIDTHS),
-        F.bool_and("whole").alias("whole"),
+        *(F.sum(pieces(w)).alias(f"of_{w}") for w in WIDTHS),
+        F.bool_and(_at_midnight("interval_start") & _at_midnight("interval_end")).alias("whole"),
+        (F.sum(length.cast("double")) / 1e6).alias("seconds"),
     ).first()
+    covered = _covered_days(given)
+    # The first and last day need not be covered as a whole.
+    ranges = [(max(a, total.start), min(b, total.end)) for a, b in covering_ranges(covered)]
     return Extent(
-        ((total.start, total.end),),
+        tuple(ranges),
         *_fitting_width(total.intervals, {w: total[f"of_{w}"] for w in WIDTHS}),
         total.whole,
         True,
+        _overlap(total.seconds, covered),
     )
 
 
@@ -147,7 +201,12 @@ def day_pieces(calendar: DataFrame) -> DataFrame:
 
 
 def bucket_pieces(calendar: DataFrame, width: int) -> DataFrame:
-    """One row per interval and bucket it touches, in columns ``day`` and ``bucket``."""
+    """One row per interval and bucket it touches, in columns ``day`` and ``bucket``.
+
+    Buckets as wide as a day are the days, and have no number.
+    """
+    if width == DAY_SECONDS:
+        return day_pieces(calendar)
     last = F.lit(DAY_SECONDS // width - 1)
     starts, ends = (F.to_date(m) == F.col("day") for m in (F.col("interval_start"), _last_moment()))
     buckets = F.sequence(
@@ -182,10 +241,8 @@ def interval_join(
         if extent.pieces <= broadcast_pieces:
             pieces = F.broadcast(pieces)
     wall = clock.wall_clock(facts, ts, zone)
-    inside = (
-        (F.to_date(wall) == F.col("day"))
-        & (bucket_of(wall, width) == F.col("bucket"))
-        & (wall >= F.col("interval_start"))
-        & (wall < F.col("interval_end"))
-    )
+    inside = F.to_date(wall) == F.col("day")
+    if width < DAY_SECONDS:
+        inside &= bucket_of(wall, width) == F.col("bucket")
+    inside &= (wall >= F.col("interval_start")) & (wall < F.col("interval_end"))
     return facts.join(pieces, inside).drop("day", "bucket")

@@ -9,18 +9,17 @@ from daymill.functions import clock
 from daymill.operators.filters import Moment, half_open, within_any
 from daymill.operators.intervals import (
     BROADCAST_PIECES,
-    bucket_of,
-    bucket_pieces,
     calendar_extent,
     day_pieces,
     interval_join,
 )
+from daymill.operators.prefix import totals_between
 
 MONEY = "decimal(18,2)"
 INTERVAL = ("interval_start", "interval_end")
 
-# Tasks a heavy day is spread over when the calendar is too large to broadcast.
-DAY_SLOTS = 32
+# Intervals that a moment may lie in, on average, for facts to be joined to each of them.
+MOST_OVERLAP = 4
 
 
 def _totals(amount: str) -> list[Column]:
@@ -102,37 +101,61 @@ def interval_summary(
         return daily.join(pieces, "summary_date").select(
             *INTERVAL, "summary_date", "order_cnt", "total_amount"
         )
-    if extent is None or extent.pieces <= broadcast_pieces:
+    if extent is None or (extent.pieces <= broadcast_pieces and extent.overlap <= MOST_OVERLAP):
         joined = interval_join(facts, calendar, ts, zone, extent)
         day = F.to_date(clock.wall_clock(facts, ts, zone))
         return joined.groupBy(*INTERVAL, day.alias("summary_date")).agg(*_totals(amount))
 
-    # Copies of a moment collapse first; what is left of a heavy day then
-    # differs in its moments, whose hash spreads it over the slots.
+    # Each piece of an interval is the difference of two running sums, so facts
+    # are added up once, however many intervals they lie in.
     facts = within_any(facts, ts, extent.ranges, zone)
-    moments = (
-        facts.groupBy(clock.wall_clock(facts, ts, zone).alias("moment"))
-        .agg(F.count("*").alias("rows"), F.sum(F.col(amount).cast(MONEY)).alias("money"))
-        .withColumn("day", F.to_date("moment"))
-        .withColumn("bucket", bucket_of(F.col("moment"), extent.width))
-        .withColumn("slot", F.pmod(F.xxhash64("moment"), F.lit(DAY_SLOTS)).cast("int"))
-    )
-    slots = F.explode(F.sequence(F.lit(0), F.lit(DAY_SLOTS - 1))).alias("slot")
-    pieces = bucket_pieces(calendar, extent.width).select("*", slots)
-    inside = (F.col("moment") >= F.col("interval_start")) & (
-        F.col("moment") < F.col("interval_end")
-    )
-    return (
-        moments.join(pieces, ["day", "bucket", "slot"])
-        .where(inside)
-        .groupBy(*INTERVAL, F.col("day").alias("summary_date"))
-        .agg(
-            F.sum("rows").alias("order_cnt"),
-            F.sum("money").cast(MONEY).alias("total_amount"),
-        )
+    day = F.col("day").cast("timestamp_ntz")
+    pieces = day_pieces(calendar).withColumns({
+        "_from": F.greatest("interval_start", day),
+        "_to": F.least("interval_end", day + F.expr(clock.ONE_DAY)),
+    })
+    spans = pieces.select("_from", "_to").distinct()
+    totals = _totals_of(facts, spans, ts, amount, zone, "_from", "_to")
+    return pieces.join(totals, ["_from", "_to"]).select(
+        *INTERVAL, F.col("day").alias("summary_date"), "order_cnt", "total_amount"
     )
 
 
+def _totals_of(
+    facts: DataFrame, spans: DataFrame, ts: str, amount: str, zone: str | None, start: str, end: str
+) -> DataFrame:
+    """``spans`` that have rows, with ``order_cnt`` and ``total_amount``."""
+    money = F.col(amount).cast(MONEY)
+    measures = {
+        "order_cnt": F.lit(1).cast("bigint"),
+        "given": money.isNotNull().cast("bigint"),
+        "money": F.coalesce(money, F.lit(0).cast(MONEY)),
+    }
+    sums = totals_between(facts, spans, measures, clock.wall_clock(facts, ts, zone), start, end)
+    total = F.when(F.col("given") > 0, F.col("money").cast(MONEY))
+    return sums.where("order_cnt > 0").select(*spans.columns, "order_cnt", total.alias("total_amount"))
+
+
+def interval_totals(
+    facts: DataFrame,
+    calendar: DataFrame,
+    ts: str = "order_dt",
+    amount: str = "amount",
+    zone: str | None = None,
+) -> DataFrame:
+    """``interval_start``, ``interval_end``, ``order_cnt`` and ``total_amount`` of every interval.
+
+    One row for each distinct interval that has rows, over all its days. Facts
+    and ends of intervals are each added up once, so windows that slide by an
+    hour over a month cost no more than hours.
+    """
+    facts, calendar = facts.select(ts, amount), calendar.select(*INTERVAL)
+    extent = calendar_extent(calendar)
+    facts = within_any(facts, ts, extent.ranges, zone) if extent else facts.where(F.lit(False))
+    spans = calendar.where("interval_start < interval_end").distinct()
+    return _totals_of(facts, spans, ts, amount, zone, *INTERVAL)
+
+
 def last_interval_wins(summary: DataFrame) -> DataFrame:
     """One row per date, as runs in order of their intervals leave it.
 

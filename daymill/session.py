@@ -74,6 +74,16 @@ def importable_on_executors(spark: SparkSession) -> None:
     _sent_to.add(context.applicationId)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as files below the shared folder: computed once, with no plan behind it.
+
+    For results that outlive the call that makes them. The files stay.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """Write ``df`` once to a managed scratch table and drop it afterwards.
