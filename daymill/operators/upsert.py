@@ -12,9 +12,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from daymill.operators.constraints import require_constraints
 from daymill.session import staged
+from daymill.sinks import snapshots
 
 MEASURES = ("order_cnt", "total_amount")
 PARTITION = "summary_month"
@@ -113,3 +115,46 @@ def upsert_table(
             .hint("rebalance", PARTITION)
         )
         merged.write.insertInto(table, overwrite=True)
+
+
+def upsert_snapshot(
+    source: DataFrame,
+    path: str,
+    key: str = "summary_date",
+    measures: Sequence[str] = MEASURES,
+    as_of: datetime | None = None,
+    notes: dict | None = None,
+    base: snapshots.Manifest | None = None,
+) -> snapshots.Manifest | None:
+    """Upsert into a snapshot table, all months in one commit.
+
+    A job that stops on the way leaves the table as it was, and readers never
+    see some months new and others old. The first upsert makes the table. Only
+    months that the source reports are read and written. Two writers at once
+    are told apart: the later one fails with ``CommitConflict``. ``base`` is the
+    version to start from, the newest if not given; ``notes`` are published
+    along with the rows. Without rows and notes there is no new version.
+    """
+    spark = source.sparkSession
+    with staged(source.select(key, *measures), "upsert") as new:
+        require_constraints(new, key=key, not_null=(key, *measures))
+        months = [r[0] for r in new.select(month_of(key).alias(PARTITION)).distinct().collect()]
+        base = base or snapshots.manifest(spark, path)
+        if not months and notes is None:
+            return base
+        if base is None:
+            columns = new.select(
+                key, *measures, *(F.current_timestamp().alias(c) for c in ("created_at", "updated_at")),
+                month_of(key).alias(PARTITION),
+            )
+            existing = spark.createDataFrame([], columns.schema)
+        else:
+            existing = snapshots.read_parts(spark, path, base, months)
+        merged = merge_rows(existing.drop(PARTITION), new, key, measures, as_of)
+        merged = merged.withColumn(PARTITION, month_of(key)).to(_nullable(existing.schema))
+        return snapshots.commit(merged, path, PARTITION, months, base, notes)
+
+
+def _nullable(schema: StructType) -> StructType:
+    """The columns as files have them."""
+    return StructType([StructField(f.name, f.dataType) for f in schema])

@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymill.functions import clock
+from daymill.operators.coverage import not_covered, uncovered_ranges
 from daymill.operators.market import build_coin_frame
-from daymill.operators.summaries import interval_summary, last_interval_wins
-from daymill.operators.upsert import MEASURES, upsert_table
+from daymill.operators.summaries import INTERVAL, interval_summary, last_interval_wins
+from daymill.operators.upsert import MEASURES, upsert_snapshot, upsert_table
 from daymill.plans.calendars import missing_intervals
 from daymill.plans.sql_files import holds_instants, run_file
 from daymill.plans.tables import create_intervals, create_summary
 from daymill.session import staged
+from daymill.sinks import snapshots
 from daymill.sinks.files import publish, write_by_run_date
 
 
@@ -94,6 +96,37 @@ def catch_up(
         todo.write.insertInto(processed)
 
 
+def catch_up_snapshot(
+    facts: DataFrame,
+    calendar: DataFrame,
+    path: str,
+    ts: str = "order_dt",
+    amount: str = "amount",
+    zone: str | None = None,
+    as_of: datetime | None = None,
+) -> snapshots.Manifest | None:
+    """Load every interval of a calendar that is not processed as a whole, in one commit.
+
+    What has been processed is kept as ranges with the rows, so intervals may be
+    cut otherwise than in earlier runs, overlap, and nest: one of which any time
+    is missing is loaded again as a whole, all others are left alone. Rows and
+    ranges are published together; a run that stops changes neither, and of two
+    at once the later fails with ``CommitConflict``. The ranges of a manifest
+    are merged, so there are as many as there are holes between them.
+    """
+    spark = facts.sparkSession
+    base = snapshots.manifest(spark, path)
+    known = [tuple(map(datetime.fromisoformat, r)) for r in (base.notes.get("processed", []) if base else [])]
+    processed = spark.createDataFrame(known, "interval_start TIMESTAMP_NTZ, interval_end TIMESTAMP_NTZ")
+    with staged(not_covered(calendar, processed).select(*INTERVAL), "missing") as todo:
+        if todo.isEmpty():
+            return base
+        ranges = uncovered_ranges(processed.unionByName(todo), processed.limit(0)).collect()
+        summary = last_interval_wins(interval_summary(facts, todo, ts, amount, zone))
+        notes = {"processed": [[m.isoformat() for m in r] for r in sorted(map(tuple, ranges))]}
+        return upsert_snapshot(summary, path, as_of=as_of, notes=notes, base=base)
+
+
 def table_to_lake(
     rows: DataFrame, uri: str, file_format: str = "parquet", replace: bool = True
 ) -> str:
