@@ -99,3 +99,58 @@ def test_instants_go_to_their_local_day(spark, schema, tmp_path):
         spark, source, facts.schema, table, str(tmp_path / "offsets"), zone="Asia/Seoul"
     )
     assert totals(spark, table) == [(date(2024, 1, 1), 1, Decimal(1)), (date(2024, 1, 2), 2, Decimal(2))]
+
+
+def written_batches(spark, root, numbers):
+    """Batches of counts as the stream leaves them, counted in one after the other."""
+    levels = incremental.Levels(spark, root)
+    for n in numbers:
+        day = date(2024, 1, 1 + n % 5)
+        rows = [(day, 1, Decimal(n)), (date(2024, 2, 1), 2, None)]
+        spark.createDataFrame(rows, incremental.PARTS).coalesce(1).write.mode("overwrite").parquet(f"{root}/{levels.own(n)}")
+        levels.add(n)
+    return levels
+
+
+def sums(levels, batches):
+    return tuples(incremental.added_up(levels.read(levels.before(batches))))
+
+
+def plain_sums(batches):
+    days = {date(2024, 1, 1 + d): [n for n in range(batches) if n % 5 == d] for d in range(5)}
+    return [(d, len(ns), Decimal(sum(ns))) for d, ns in sorted(days.items()) if ns] + [(date(2024, 2, 1), 2 * batches, None)]
+
+
+def test_few_folders_hold_many_batches(spark, tmp_path):
+    levels = written_batches(spark, str(tmp_path), range(37))
+    found = levels.before(37)
+    assert [x.batches for x in found] == [32, 4, 1]
+    assert sums(levels, 37) == plain_sums(37)
+    # What is no longer named is gone, but for the last batches.
+    kept = {p.name for p in (tmp_path / "daily_parts").iterdir()} | {p.name for p in (tmp_path / "daily_levels").glob("sum-*")}
+    assert len(kept) <= 9 and len(list((tmp_path / "daily_levels").glob("*.json"))) == incremental.KEPT
+
+
+def test_a_failure_while_merging_changes_nothing(spark, tmp_path, monkeypatch):
+    levels = written_batches(spark, str(tmp_path), range(7))
+    with monkeypatch.context() as patched:
+        def stop(*_):
+            raise OSError("stop")
+
+        patched.setattr(incremental.storage, "publish_text", stop)
+        with pytest.raises(OSError):
+            written_batches(spark, str(tmp_path), [7])
+    assert sums(levels, 7) == plain_sums(7) and [x.batches for x in levels.before(7)] == [4, 2, 1]
+    for _ in range(2):
+        written_batches(spark, str(tmp_path), [7])
+    assert sums(levels, 8) == plain_sums(8) and [x.batches for x in levels.before(8)] == [8]
+
+
+def test_batches_from_before_there_were_levels_are_taken_up(spark, tmp_path):
+    levels = incremental.Levels(spark, str(tmp_path))
+    for n in range(3):
+        written = spark.createDataFrame([(date(2024, 1, 1), 1, Decimal(n))], incremental.PARTS)
+        written.write.parquet(f"{tmp_path}/{levels.own(n)}")
+    assert levels.before(2) == [incremental.Level(levels.own(n), 1) for n in range(2)]
+    assert [x.batches for x in levels.add(2)] == [3]
+    assert sums(levels, 3) == [(date(2024, 1, 1), 3, Decimal(3))]
