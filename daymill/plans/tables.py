@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.operators.ids import with_dense_ids
+from daymill.operators.ids import numbered, with_dense_ids
 from daymill.operators.upsert import PARTITION
 from daymill.plans.sql_files import run_file
 from daymill.sources.tables import literal_rows
@@ -42,13 +42,20 @@ def insert_users(users: DataFrame, table: str, order_by: Sequence[str] = ()) ->
     spark = users.sparkSession
     spark.catalog.refreshTable(table)
     highest = spark.table(table).agg(F.max("id").alias("id")).first()["id"] or 0
-    needed = list(dict.fromkeys(("name", "age", *order_by)))
-    with with_dense_ids(users.select(*needed), order_by, after=highest) as rows:
+    needed = users.select(*dict.fromkeys(("name", "age", *order_by)))
+
+    def insert(rows: DataFrame) -> None:
         now = F.current_timestamp()
         rows.select(
             "id", "name", "age", now.alias("created_at"), now.alias("updated_at")
         ).write.insertInto(table)
 
+    if order_by:
+        insert(numbered(needed, order_by, after=highest))
+        return
+    with with_dense_ids(needed, after=highest) as rows:
+        insert(rows)
+
 
 def create_summary(spark: SparkSession, table: str) -> None:
     """The daily summary table, unless it exists; kept in one folder per month."""

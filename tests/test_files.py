@@ -113,3 +113,70 @@ def test_table_to_lake(spark, schema, rows, tmp_path):
     rows.write.saveAsTable(f"{schema}.users")
     uri = loads.table_to_lake(spark.table(f"{schema}.users"), str(tmp_path / "lake"))
     assert tuples(spark.read.parquet(uri), "id") == tuples(rows, "id")
+
+
+def names_below(folder):
+    return sorted(str(p.relative_to(folder)) for p in folder.rglob("*") if p.is_file())
+
+
+@pytest.mark.parametrize("source,target", [
+    ("raw", "raw"), ("raw", "raw/"), ("raw", "raw/in"), ("raw/sub", "raw"), ("raw/one.txt", "raw"), ("raw/../raw", "raw"),
+])
+def test_overlapping_copies_are_refused(spark, tmp_path, source, target):
+    (tmp_path / "raw" / "sub").mkdir(parents=True)
+    for name in ("one.txt", "sub/two.txt"):
+        (tmp_path / "raw" / name).write_text(name)
+    before = names_below(tmp_path)
+    with pytest.raises(ValueError, match="overlap"):
+        files.copy_dataset(spark, f"{tmp_path}/{source}", f"{tmp_path}/{target}")
+    assert names_below(tmp_path) == before
+
+
+def test_the_target_is_replaced_only_by_a_whole_copy(spark, tmp_path, monkeypatch):
+    raw, done = tmp_path / "raw", tmp_path / "done"
+    for folder, name, content in ((raw, "a", "1"), (raw, "sub/b", "2"), (done, "old", "3")):
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text(content)
+    with monkeypatch.context() as patched:
+        def stop(*_):
+            raise OSError("stop")
+
+        patched.setattr(files, "_replace_folder", stop)
+        with pytest.raises(OSError):
+            files.copy_dataset(spark, str(raw), str(done))
+    assert names_below(done) == ["old"]
+    # The next copy goes on: equal objects stay, changed and vanished ones do not.
+    staging = tmp_path / "done.copying"
+    assert names_below(staging) == ["a", "sub/b"]
+    kept = (staging / "a").stat().st_ino
+    (staging / "sub" / "b").write_text("x")
+    (staging / "gone").write_text("x")
+    files.copy_dataset(spark, str(raw), str(done))
+    assert names_below(done) == ["a", "sub/b"] and (done / "sub" / "b").read_text() == "2"
+    assert (done / "a").stat().st_ino == kept
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["done", "raw"]
+
+
+def test_a_missing_source_leaves_the_target(spark, tmp_path):
+    (tmp_path / "done").mkdir()
+    (tmp_path / "done" / "old").write_text("old")
+    with pytest.raises(FileNotFoundError):
+        files.copy_dataset(spark, str(tmp_path / "none"), str(tmp_path / "done"))
+    assert names_below(tmp_path / "done") == ["old"]
+
+
+def test_many_small_objects_are_few_tasks(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for i in range(300):
+        (raw / f"{i}").write_text(str(i))
+    files.copy_dataset(spark, str(raw), str(tmp_path / "done"))
+    assert len(names_below(tmp_path / "done")) == 300
+    sizes = [("big", 5 << 30), *((f"s{i}", 10) for i in range(1_000))]
+    packed = files._packed(sizes, 4)
+    assert sorted(n for names in packed for n in names) == sorted(n for n, _ in sizes)
+    assert [len(names) for names in packed if "big" in names] == [1]
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    files.copy_dataset(spark, str(empty), str(tmp_path / "done"))
+    assert names_below(tmp_path / "done") == []

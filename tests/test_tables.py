@@ -1,18 +1,21 @@
+from collections import Counter
 from datetime import date
 from decimal import Decimal
 
 import pytest
 from frames import plan_of, tuples
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
+from daymill.operators import ids, keys
 from daymill.operators.constraints import (
     ConstraintViolation,
     constraint_report,
     require_constraints,
 )
-from daymill.operators.ids import with_dense_ids
+from daymill.operators.ids import numbered, with_dense_ids
 from daymill.plans import tables
-from daymill.sources import objects
+from daymill.sources import listings, objects
 from daymill.sources.tables import (
     current_schema,
     first_row,
@@ -190,3 +193,96 @@ def test_list_keys_by_their_beginning(spark, tmp_path, beginning, names):
     listed = objects.list_keys(spark, str(tmp_path), beginning)
     assert sorted(r.path.rsplit("/", 1)[-1] for r in listed.collect()) == sorted(names)
     assert listed.columns == ["path", "length", "modificationTime"]
+
+
+def test_numbered_rows_need_no_write(spark):
+    """Ties, copies of one row beyond a part, nulls, and parts cut at samples."""
+    rows = [(None if i % 11 == 0 else i % 50, i, "x") for i in range(600)] + [(7, -1, None)] * 900
+    df = spark.createDataFrame(rows, "a INT, b INT, c STRING")
+    wanted = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    for part_rows in (10_000, 40):
+        for shuffled in (df.repartition(9, "b"), df.orderBy("b").coalesce(2)):
+            got = numbered(shuffled, ["a"], after=50, part_rows=part_rows)
+            assert got.columns == ["id", "a", "b", "c"]
+            found = sorted(map(tuple, got.collect()))
+            assert [r[0] for r in found] == list(range(51, 51 + len(rows)))
+            assert [r[1] for r in found] == [w[0] for w in wanted]
+            assert Counter(r[1:] for r in found) == Counter(rows)
+            if part_rows == 40:
+                first = found
+    # Whatever tasks the rows come from, they get equal ids.
+    assert sorted(map(tuple, numbered(df.repartition(3), ["a"], after=50, part_rows=40).collect())) == first
+
+
+def test_numbered_parts_are_alike_in_size(spark):
+    df = spark.range(5_000).selectExpr("IF(id % 3 = 0, 7, id) AS a", "id AS b")
+    keyed = df.withColumn("_tie", F.xxhash64("a", "b"))
+    order = ["a", "_tie"]
+    cuts = ids._cuts(keyed, order, 5_000, 10)
+    sizes = [r["count"] for r in keyed.groupBy(ids._part(keyed, order, cuts)).count().collect()]
+    assert len(sizes) >= 9 and max(sizes) < 900
+    plan = plan_of(numbered(df, ["a"], part_rows=500))
+    assert "Python" not in plan and "Cartesian" not in plan
+    with pytest.raises(ValueError):
+        numbered(df, [])
+    assert numbered(df.limit(0), ["a"]).count() == 0
+
+
+@pytest.fixture
+def keyed_table(spark, schema):
+    name = f"{schema}.keyed"
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, v STRING) USING PARQUET")
+    return name
+
+
+def keyed_rows(spark, *numbers):
+    return spark.createDataFrame([(n, f"v{n}") for n in numbers], "id BIGINT, v STRING")
+
+
+def test_appended_keys_are_checked_against_the_table(spark, keyed_table, tmp_path):
+    index = str(tmp_path / "index")
+    keys.append_with_key(keyed_rows(spark, 1, 32_768, 32_769, 10**12, 0, -1), keyed_table, "id", index)
+    keys.append_with_key(keyed_rows(spark, 2, -2, 32_770), keyed_table, "id", index)
+    stored = lambda: (spark.catalog.refreshTable(keyed_table), sorted(r.id for r in spark.table(keyed_table).collect()))[1]
+    before = stored()
+    assert before == [-2, -1, 0, 1, 2, 32_768, 32_769, 32_770, 10**12]
+    for bad in ((5, 1), (10**12,), (5, -2), (0,), (6, 6), (None, 9)):
+        with pytest.raises(ConstraintViolation):
+            keys.append_with_key(keyed_rows(spark, *bad), keyed_table, "id", index)
+    assert stored() == before
+    # A table that someone else wrote to is indexed anew.
+    keyed_rows(spark, 77).write.insertInto(keyed_table)
+    with pytest.raises(ConstraintViolation):
+        keys.append_with_key(keyed_rows(spark, 77), keyed_table, "id", index)
+    spark.sql(f"INSERT OVERWRITE {keyed_table} VALUES (500, 'x')")
+    keys.append_with_key(keyed_rows(spark, 1), keyed_table, "id", index)
+    assert stored() == [1, 500]
+    keys.append_with_key(keyed_rows(spark), keyed_table, "id", index)
+    assert stored() == [1, 500]
+
+
+def test_present_keys_equal_a_join(spark):
+    held, asked = range(-70_000, 70_000, 3), range(-70_001, 70_001, 7)
+    bitmaps = keys.key_bitmaps(spark.createDataFrame([(i,) for i in held] + [(None,)], "id BIGINT"), "id")
+    rows = spark.createDataFrame([(i,) for i in asked] + [(None,)], "id BIGINT")
+    got = keys.present_keys(rows, "id", bitmaps)
+    assert sorted(r.id for r in got.collect()) == sorted(set(held) & set(asked))
+    assert bitmaps.count() == 6 and got.columns == ["id"]
+
+
+def test_listings(spark, tmp_path):
+    rows = [("a/b/1", 1, "x"), ("a/b/2", 2, "x"), ("a/c", 3, "x"), ("ab/1", 4, None), ("b", 5, None), ("a/é/1", 6, "y")]
+    listing = spark.createDataFrame(rows, "key STRING, size BIGINT, tag STRING")
+    kept = listings.read_listing(spark, listings.write_listing(listing, str(tmp_path / "l")))
+    found = listings.keys_by_prefix(kept, "a/")
+    assert sorted(r.key for r in found.collect()) == ["a/b/1", "a/b/2", "a/c", "a/é/1"]
+    assert "StringStartsWith(key,a/)" in plan_of(found)
+    assert tuples(listings.rolled_up(kept, "a/")) == [("a/b/", True, 2, 3), ("a/c", False, 1, 3), ("a/é/", True, 1, 6)]
+    assert tuples(listings.rolled_up(kept)) == [("a/", True, 4, 12), ("ab/", True, 1, 4), ("b", False, 1, 5)]
+    later = [("a/b/1", 1, "z"), ("a/b/2", 9, "x"), ("a/c", 3, "x"), ("ab/1", 4, "t"), ("n", None, None)]
+    after = spark.createDataFrame(later, listing.schema)
+    assert tuples(listings.listing_changes(listing, after)) == [
+        ("a/b/2", "changed", 9), ("a/é/1", "gone", 6), ("b", "gone", 5), ("n", "added", None),
+    ]
+    by_tag = tuples(listings.listing_changes(listing, after, ("size", "tag")))
+    assert [r[:2] for r in by_tag if r[1] == "changed"] == [("a/b/1", "changed"), ("a/b/2", "changed"), ("ab/1", "changed")]
