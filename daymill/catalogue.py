@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymill.functions import clock, text
-from daymill.operators import filters, intervals, market, summaries, upsert
+from daymill.operators import coverage, filters, intervals, keys, market, summaries, upsert
 from daymill.operators.constraints import constraint_report
-from daymill.plans import calendars, loads, sql_files, tables
+from daymill.plans import calendars, cron, loads, sql_files, tables
 from daymill.session import scratch_path
-from daymill.sinks import files
-from daymill.sources import market_json, objects
+from daymill.sinks import files, snapshots
+from daymill.sources import listings, market_json, objects
 from daymill.sources.tables import (
     current_schema,
     ensure_schema,
@@ -162,6 +162,34 @@ def a8_list_objects(spark, sf_dir):
     return objects.list_objects(spark, sf_dir, "*.parquet")
 
 
+def page_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as stored objects: a key made of the address and the page's number."""
+    key = F.concat_ws("/", F.lit("processed"), text.strip_query("url"), F.concat("page_id", F.lit(".html")))
+    return table(spark, sf_dir, "pages").select(key.alias("key"), F.octet_length("html").cast("bigint").alias("size"))
+
+
+@registered
+def a8_keys_by_prefix(spark, sf_dir):
+    """What lies below the secure pages, from a listing that is kept in order."""
+    path = listings.write_listing(page_listing(spark, sf_dir), scratch_path(spark, "listing"))
+    return listings.keys_by_prefix(listings.read_listing(spark, path), "processed/https://")
+
+
+@registered
+def a8_listing_roll_up(spark, sf_dir):
+    """Hosts, as folders, with their objects and bytes."""
+    return listings.rolled_up(page_listing(spark, sf_dir), "processed/https://")
+
+
+@registered
+def a8_listing_changes(spark, sf_dir):
+    """Some pages came, some went, and every third of the others by size grew."""
+    pages = page_listing(spark, sf_dir)
+    before, after = pages.where("size % 5 > 0"), pages.where("size % 7 > 0")
+    grown = after.withColumn("size", F.when(F.col("size") % 3 == 0, F.col("size") + 1).otherwise(F.col("size")))
+    return listings.listing_changes(before, grown)
+
+
 @registered
 def a9_current_schema(spark, sf_dir):
     with current_schema(spark, stage_schema(spark, sf_dir)):
@@ -314,6 +342,24 @@ def b11_upsert_summary(spark, sf_dir):
     )
 
 
+@registered
+def b14_atomic_upsert(spark, sf_dir):
+    """Urgent orders first, then all orders of two years: the newest version and the one before."""
+    path, orders = scratch_path(spark, "snapshot"), dated_orders(spark, sf_dir)
+    urgent = summaries.daily_summary(orders.where("o_orderpriority = '1-URGENT'"))
+    upsert.upsert_snapshot(urgent, path, as_of=FIRST_LOAD)
+    mended = summaries.daily_summary(orders, start=date(1996, 7, 1), end=date(1998, 7, 1))
+    upsert.upsert_snapshot(mended, path, as_of=SECOND_LOAD)
+    of_version = [
+        snapshots.read_snapshot(spark, path, v).withColumn("version", F.lit(v)) for v in (1, 2)
+    ]
+    return of_version[0].unionByName(of_version[1]).select(
+        "version", "summary_date", "order_cnt", "total_amount",
+        clock.instant_to_wall("created_at").alias("created_at"),
+        clock.instant_to_wall("updated_at").alias("updated_at"),
+    )
+
+
 @registered
 def b12_merge_actions(spark, sf_dir):
     orders = dated_orders(spark, sf_dir)
@@ -334,6 +380,17 @@ def b13_extreme_values(spark, sf_dir):
     return constraint_report(events, numeric={"value": (18, 2)})
 
 
+@registered
+def b13_key_against_table(spark, sf_dir):
+    """Finished orders, of which some are in the table of urgent ones already."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    stored = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    finished = orders.join(
+        table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey"), "o_orderkey", "left_semi"
+    )
+    return keys.present_keys(finished, "o_orderkey", keys.key_bitmaps(stored, "o_orderkey"))
+
+
 @registered
 def b13_constraint_violations(spark, sf_dir):
     return constraint_report(
@@ -419,6 +476,26 @@ def d4_missing_intervals(spark, sf_dir):
     return calendars.missing_intervals(calendar, done)
 
 
+def click_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to an hour and a half after each click, as if that had been processed: ranges overlap, nest and touch."""
+    clicks = table(spark, sf_dir, "events").where("event_type = 'click'")
+    length = F.make_dt_interval(F.lit(0), F.lit(0), (F.col("event_id") % 91).cast("int"))
+    return clicks.select(F.col("ts").alias("interval_start"), (F.col("ts") + length).alias("interval_end"))
+
+
+@registered
+def d4_uncovered_ranges(spark, sf_dir):
+    wanted = calendars.daily_calendar(event_bounds(spark, sf_dir))
+    return coverage.uncovered_ranges(wanted, click_ranges(spark, sf_dir))
+
+
+@registered
+def d4_partly_covered(spark, sf_dir):
+    """Hours that were not processed, or not as a whole."""
+    hours = cron.cron_calendar(event_bounds(spark, sf_dir), "@hourly")
+    return coverage.not_covered(hours, click_ranges(spark, sf_dir))
+
+
 @registered
 def d4_catch_up_summary(spark, sf_dir):
     """Weekends are processed first; the catch-up finds all other days."""
@@ -436,6 +513,22 @@ def d4_catch_up_summary(spark, sf_dir):
     )
 
 
+@registered
+def d4_catch_up_ranges(spark, sf_dir):
+    """A week was loaded before errors came in; a catch-up by days then finds the rest."""
+    facts, path = event_orders(spark, sf_dir), scratch_path(spark, "caught_up")
+    weeks = cron.cron_calendar(
+        calendars.fixed_bounds(spark, date(2024, 1, 1), date(2024, 1, 8)), "@weekly"
+    )
+    loads.catch_up_snapshot(facts.where("event_type <> 'error'"), weeks, path, as_of=FIRST_LOAD)
+    days = calendars.daily_calendar(calendars.observed_bounds(facts, "order_dt"))
+    loads.catch_up_snapshot(facts, days, path, as_of=SECOND_LOAD)
+    return snapshots.read_snapshot(spark, path).select(
+        "summary_date", "order_cnt", "total_amount",
+        (F.col("created_at") == F.lit(FIRST_LOAD)).alias("from_first"),
+    )
+
+
 # E. Aggregations
 
 
@@ -466,6 +559,24 @@ def e4_backfill_summary(spark, sf_dir):
     return summaries.interval_summary(facts, calendar)
 
 
+@registered
+def e4_sliding_summary(spark, sf_dir):
+    """Every hour, the thirty days up to it."""
+    facts = event_orders(spark, sf_dir)
+    bounds = calendars.observed_bounds(facts, "order_dt")
+    windows = cron.cron_window_calendar(bounds, "0 * * * *", "30 DAY")
+    return summaries.interval_totals(facts, windows)
+
+
+@registered
+def e4_overlapping_days(spark, sf_dir):
+    """Every quarter of a day, the days of the sixty hours up to it."""
+    facts = event_orders(spark, sf_dir)
+    bounds = calendars.observed_bounds(facts, "order_dt")
+    windows = cron.cron_window_calendar(bounds, "0 */6 * * *", "60 HOUR")
+    return summaries.interval_summary(facts, windows)
+
+
 # F. Windows and top-k
 
 
@@ -508,6 +619,17 @@ def h2_cron_interval_calendar(spark, sf_dir):
     return calendars.cron_interval_calendar(event_bounds(spark, sf_dir), CRON_TUE_SAT)
 
 
+@registered
+def h2_cron_text(spark, sf_dir):
+    """Twice a day, on Mondays and on the odd days up to the fifteenth."""
+    return cron.cron_calendar(event_bounds(spark, sf_dir), "30 6,18 1-15/2 * MON")
+
+
+@registered
+def h3_cron_text_points(spark, sf_dir):
+    return cron.cron_window_calendar(event_bounds(spark, sf_dir), "0 0 * * TUE-SAT", "1 DAY")
+
+
 @registered
 def h3_cron_point_calendar(spark, sf_dir):
     return calendars.cron_point_calendar(event_bounds(spark, sf_dir), CRON_TUE_SAT)

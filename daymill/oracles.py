@@ -77,6 +77,35 @@ NUMBERED = """
     FROM customer
 """
 
+# Every hour of the events, from the first midnight to the last.
+HOUR_TICKS = TICKS.replace("INTERVAL 1 DAY", "INTERVAL 1 HOUR")
+
+CLICK_RANGES = """
+    SELECT ts AS s, ts + (event_id % 91) * INTERVAL 1 MINUTE AS e
+    FROM events WHERE event_type = 'click' AND ts IS NOT NULL AND event_id % 91 > 0
+"""
+# The wanted days leave no gap, so what is missing lies before, between and after the islands.
+UNCOVERED = f"""
+    WITH reached AS (
+        SELECT s, e, MAX(e) OVER (ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS so_far
+        FROM ({CLICK_RANGES}) r
+    ), wanted AS (
+        SELECT date_trunc('day', MIN(ts)) AS w0, date_trunc('day', MAX(ts)) + INTERVAL 1 DAY AS w1 FROM events
+    ), gaps AS (
+        SELECT COALESCE(so_far, w0) AS a, s AS b FROM reached, wanted WHERE so_far IS NULL OR s > so_far
+        UNION ALL
+        SELECT COALESCE((SELECT MAX(e) FROM ({CLICK_RANGES}) r), w0), w1 FROM wanted
+    )
+    SELECT GREATEST(a, w0) AS interval_start, LEAST(b, w1) AS interval_end
+    FROM gaps, wanted WHERE GREATEST(a, w0) < LEAST(b, w1)
+"""
+
+PAGE_LISTING = """
+    SELECT 'processed/' || string_split(url, '?')[1] || '/' || page_id || '.html' AS key,
+           strlen(html)::BIGINT AS size
+    FROM pages
+"""
+
 ORACLES = {
     "a1_market_json_scan": """
         SELECT event_id, epoch_us(ts) // 1000 AS timestamp_ms, value AS price FROM events
@@ -217,6 +246,48 @@ ORACLES = {
         )
     """,
     "e1_daily_summary": ALL_DAYS,
+    "d4_uncovered_ranges": UNCOVERED,
+    "d4_partly_covered": f"""
+        SELECT tick AS interval_start, tick + INTERVAL 1 HOUR AS interval_end, tick AS logical_date
+        FROM ({HOUR_TICKS}) t
+        WHERE EXISTS (
+            SELECT 1 FROM ({UNCOVERED}) u
+            WHERE u.interval_start < t.tick + INTERVAL 1 HOUR AND u.interval_end > t.tick
+        )
+    """,
+    "a8_keys_by_prefix": f"SELECT * FROM ({PAGE_LISTING}) p WHERE key LIKE 'processed/https://%'",
+    "a8_listing_roll_up": f"""
+        SELECT CASE WHEN goes_on THEN host || '/' ELSE key END AS entry, goes_on AS is_folder,
+               COUNT(*) AS objects, CAST(SUM(size) AS BIGINT) AS size
+        FROM (
+            SELECT *, 'processed/https://' || string_split(key[19:], '/')[1] AS host,
+                   contains(key[19:], '/') AS goes_on
+            FROM ({PAGE_LISTING}) p WHERE key LIKE 'processed/https://%'
+        ) h GROUP BY 1, 2
+    """,
+    "a8_listing_changes": f"""
+        WITH old AS (SELECT * FROM ({PAGE_LISTING}) p WHERE size % 5 > 0),
+        new AS (
+            SELECT key, size + CASE WHEN size % 3 = 0 THEN 1 ELSE 0 END AS size
+            FROM ({PAGE_LISTING}) p WHERE size % 7 > 0
+        )
+        SELECT key, CASE WHEN old.size IS NULL THEN 'added' WHEN new.size IS NULL THEN 'gone' ELSE 'changed' END AS change,
+               COALESCE(new.size, old.size) AS size
+        FROM old FULL OUTER JOIN new USING (key) WHERE old.size IS DISTINCT FROM new.size
+    """,
+    "b13_key_against_table": """
+        SELECT o_orderkey, o_orderdate FROM orders
+        WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
+    """,
+    "d4_catch_up_ranges": f"""
+        WITH marked AS (
+            SELECT *, ts >= TIMESTAMP '2024-01-07' AND ts < TIMESTAMP '2024-01-14' AS from_first
+            FROM events WHERE ts IS NOT NULL
+        )
+        SELECT {EVENTS_DAILY}, from_first FROM marked
+        WHERE NOT (from_first AND event_type = 'error')
+        GROUP BY CAST(ts AS DATE), from_first
+    """,
     "d4_catch_up_summary": f"""
         SELECT summary_date, order_cnt, total_amount,
                isodow(summary_date) IN (6, 7) AS from_first,
@@ -229,6 +300,16 @@ ORACLES = {
     """,
     "e2_hourly_count": f"{HOURLY} WHERE ts IS NOT NULL GROUP BY 1",
     "e4_backfill_summary": interval_summary(CRON_INTERVAL),
+    "e4_sliding_summary": f"""
+        SELECT tick - INTERVAL 30 DAY AS interval_start, tick AS interval_end, COUNT(*) AS order_cnt,
+               CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_amount
+        FROM ({HOUR_TICKS}) t JOIN events ON ts >= tick - INTERVAL 30 DAY AND ts < tick
+        GROUP BY tick
+    """,
+    "e4_overlapping_days": interval_summary(f"""
+        SELECT tick - INTERVAL 60 HOUR AS interval_start, tick AS interval_end
+        FROM ({HOUR_TICKS}) t WHERE hour(tick) % 6 = 0
+    """),
     "f2_latest_interval": f"""
         SELECT * FROM ({DAILY_CALENDAR}) c
         WHERE interval_end <= (SELECT MAX(ts) FROM events)
@@ -293,5 +374,39 @@ ORACLES = {
     "j5_summary_load_from_file": f"""
         SELECT {EVENTS_DAILY} FROM events WHERE {RUN_BOUNDS} GROUP BY CAST(ts AS DATE)
     """,
+    "h2_cron_text": """
+        WITH ticks AS (
+            SELECT UNNEST(generate_series(
+                (SELECT date_trunc('day', MIN(ts)) FROM events),
+                (SELECT date_trunc('day', MAX(ts)) FROM events) + INTERVAL 40 DAY,
+                INTERVAL 30 MINUTE)) AS tick
+        ), runs AS (
+            SELECT tick AS interval_start, LEAD(tick) OVER (ORDER BY tick) AS interval_end
+            FROM ticks
+            WHERE minute(tick) = 30 AND hour(tick) IN (6, 18)
+              AND (day(tick) IN (1, 3, 5, 7, 9, 11, 13, 15) OR isodow(tick) = 1)
+        )
+        SELECT interval_start, interval_end, interval_start AS logical_date FROM runs
+        WHERE interval_start <= (SELECT date_trunc('day', MAX(ts)) FROM events)
+    """,
+    "h3_cron_text_points": CRON_POINT,
+    "b14_atomic_upsert": f"""
+        WITH urgent AS (
+            SELECT {ORDERS_DAILY} FROM orders
+            WHERE o_orderdate IS NOT NULL AND o_orderpriority = '1-URGENT' GROUP BY CAST(o_orderdate AS DATE)
+        ), mended AS (
+            SELECT {ORDERS_DAILY} FROM orders
+            WHERE o_orderdate >= DATE '1996-07-01' AND o_orderdate < DATE '1998-07-01'
+            GROUP BY CAST(o_orderdate AS DATE)
+        ), loads AS (
+            SELECT TIMESTAMP '2024-02-01 00:00:00' AS one, TIMESTAMP '2024-02-02 00:00:00' AS two
+        )
+        SELECT 1 AS version, u.*, one AS created_at, one AS updated_at FROM urgent u, loads
+        UNION ALL
+        SELECT 2, summary_date, COALESCE(m.order_cnt, u.order_cnt), COALESCE(m.total_amount, u.total_amount),
+               CASE WHEN u.order_cnt IS NULL THEN two ELSE one END,
+               CASE WHEN m.order_cnt IS NULL THEN one ELSE two END
+        FROM urgent u FULL OUTER JOIN mended m USING (summary_date), loads
+    """,
     "k1_incremental_daily_summary": ALL_DAYS,
 }
