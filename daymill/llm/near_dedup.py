@@ -15,26 +15,31 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from daymill.llm.shared import whole_text, written
+from daymill.llm.shared import only_holder, whole_text, written
 
 # At a similarity of 0.8 no band agrees in one of 10^7 pairs.
 BANDS, BAND_BINS = 50, 6
-MOST_WORDS = 250_000
+# Rows without an id are numbered from here on.
+NAMELESS = 1 << 62
+# Words that a worker keeps hashes of, and the bytes of the longest.
+MOST_WORDS, LONGEST_WORD = 250_000, 64
 # Shingles of a block of documents, and numbers in a matrix of blocks, at about the most.
 BLOCK_SHINGLES, BLOCK_CELLS = 150_000, 20_000_000
 
 
 class _WordHashes(dict):
-    """64-bit hashes of words, emptied when full."""
+    """64-bit hashes of words, emptied when full; long words are not kept."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= MOST_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONGEST_WORD:
+            if len(self) >= MOST_WORDS:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -113,6 +118,7 @@ def sketch(docs: DataFrame, words: int, bands: int, band_bins: int) -> DataFrame
     bins = bands * band_bins
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_holder("near_dedup", _hashes.clear)
         for batch in batches:
             sizes, sets, keys = [], [], []
             for text in batch.column(2):
@@ -138,6 +144,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_holder("near_dedup", _hashes.clear)
         key, first = None, np.empty(0, np.uint64)
         for batch in batches:
             keep = []
@@ -278,8 +285,8 @@ def link_rest(
     """``labels`` with all links between members of a bucket that stars left in two components.
 
     Of the members of such a bucket, those outside its largest component are
-    its minors. Buckets that share members form a family, found over the star
-    edges. Each minor is compared with every member of its family, in blocks of
+    its minors. Buckets that share components form a family, so members that are
+    in one component count once when families are found. Each minor is compared with every member of its family, in blocks of
     bounded size: a block of minors and a block of members meet in a task as
     two matrices, whose product is the sizes of all intersections. A document
     travels once for each opposite block, never once for each pair, and of the
@@ -292,14 +299,15 @@ def link_rest(
     mixed = written(rows.join(shares, "bucket"), "mixed")
     if mixed.isEmpty():
         return labels
-    centres = mixed.groupBy("bucket").agg(F.min("doc_id").alias("a"))
-    stars = mixed.join(centres, "bucket").select("a", F.col("doc_id").alias("b"))
-    families = components(stars).withColumnsRenamed({"node": "doc_id", "component": "family"})
+    parts = mixed.select("bucket", "component").distinct()
+    centres = parts.groupBy("bucket").agg(F.min("component").alias("a"))
+    stars = parts.join(centres, "bucket").select("a", F.col("component").alias("b"))
+    families = components(stars).select(F.col("node").alias("component"), F.col("component").alias("family"))
     docs = mixed.groupBy("doc_id").agg(
         F.max("n").alias("n"), F.max("component").alias("component"),
         F.max(F.col("component") != F.col("main")).alias("minor"),
     )
-    docs = written(docs.join(families, "doc_id"), "families")
+    docs = written(docs.join(families, "component"), "families")
     minor = F.when(F.col("minor"), F.col("n"))
     blocks = docs.groupBy("family").agg(
         F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("bigint").alias("blocks"),
@@ -318,6 +326,7 @@ def link_rest(
     ))
 
     def compare(table: pa.Table) -> pa.Table:
+        only_holder("near_dedup", _hashes.clear)
         sides: tuple[list, list] = ([], [])
         columns = (table[c].to_pylist() for c in ("doc_id", "component", "asks", "text"))
         for doc, component, asks, text in zip(*columns):
@@ -351,14 +360,15 @@ def near_duplicates(
     Null and empty texts and those without words have an empty set and are
     linked with nothing. Equal sets are one from the start, so copies are not
     compared. Rows that repeat an id are one document with several texts: it is
-    linked as each of them is. Rows without an id join the group of an equal
-    set, are not compared beyond that, and are kept if that group has no id. An
+    linked as each of them is. Rows without an id are documents too, equal texts
+    being one: they are compared as all others, and where a group has no id
+    (below 2**62), its ``component_id`` is null and one text of it is kept. An
     empty table gives no rows. Other columns are not looked at. ``text_key`` is
     a hash of the text. This call runs the jobs that find the links.
     """
+    text_key = F.xxhash64(whole_text(text))
     rows = docs.select(
-        F.col(doc_id).cast("bigint").alias("doc_id"),
-        F.xxhash64(whole_text(text)).alias("text_key"), F.col(text).alias("text"),
+        named(F.col(doc_id), text_key).alias("doc_id"), text_key.alias("text_key"), F.col(text).alias("text")
     )
     seen = written(sketch(rows, words, bands, band_bins), "sketches")
     narrow = seen.select("doc_id", "text_key", "n_shingles", "set_key")
@@ -392,11 +402,21 @@ def near_duplicates(
     empty = narrow.filter("set_key IS NULL").select(*answer, F.col("doc_id").alias("component_id"))
     filled = narrow.join(sets, "set_key").select(*answer, F.col("of_set").alias("component_id"))
     own = F.col("doc_id") == F.col("component_id")
-    return filled.unionByName(empty).withColumn(
-        "kept", F.coalesce(own, F.col("component_id").isNull())
+    nameless = F.col("doc_id") == named(F.lit(None), F.col("text_key"))
+    return filled.unionByName(empty).select(
+        F.when(~nameless, F.col("doc_id")).alias("doc_id"), "text_key", "n_shingles",
+        F.when(F.col("component_id") < NAMELESS, F.col("component_id"))
+        .when(own & ~nameless, F.col("component_id")).alias("component_id"),
+        own.alias("kept"),
     )
 
 
+def named(doc_id: Column, text_key: Column) -> Column:
+    """The id, or for a row without one a number from its text, above usual ids."""
+    from_text = F.lit(NAMELESS) + text_key.bitwiseAND(F.lit(NAMELESS - 1))
+    return F.coalesce(doc_id.cast("bigint"), from_text)
+
+
 def _repeated_ids(narrow: DataFrame, sets: DataFrame) -> DataFrame | None:
     """Links of ids that stand for several sets; None if there are none."""
     repeated = narrow.filter("doc_id IS NOT NULL AND set_key IS NOT NULL").groupBy("doc_id").agg(
@@ -414,7 +434,9 @@ def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     Of equal rows of the document that stays, one is left.
     """
     kept = near_duplicates(docs, doc_id=doc_id, text=text, **options).filter("kept")
-    keys = kept.select(F.col("doc_id").alias("__id"), "text_key").distinct()
-    keyed = docs.withColumn("__key", F.xxhash64(whole_text(text)))
-    stays = F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("text_key"))
-    return keyed.join(keys, stays, "left_semi").dropDuplicates([doc_id, "__key"]).drop("__key")
+    keys = kept.select(named(F.col("doc_id"), F.col("text_key")).alias("__id"), F.col("text_key").alias("__key"))
+    text_key = F.xxhash64(whole_text(text))
+    keyed = docs.withColumns({"__id": named(F.col(doc_id), text_key), "__key": text_key})
+    # Texts travel once, to where both the join and the choice of one row are made.
+    one = keyed.join(keys.distinct(), ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"])
+    return one.drop("__id", "__key")

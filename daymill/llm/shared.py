@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +40,26 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+# Who holds caches in this Python worker, and how they are let go.
+_holders: dict[str, Callable[[], object]] = {}
+
+
+def seldom_collected() -> None:
+    """Let this worker look for cycles less often: operators make many objects and hardly any cycle."""
+    gc.set_threshold(200_000, 20, 50)
+
+
+def only_holder(name: str, let_go: Callable[[], object]) -> None:
+    """Let go of what other operators keep in this worker.
+
+    A worker serves the tasks of one operator after another, and caches that
+    outlive tasks would add up.
+    """
+    for other in [n for n in _holders if n != name]:
+        _holders.pop(other)()
+    _holders[name] = let_go
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, where no lost executor takes it along."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
