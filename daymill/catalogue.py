@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from daymill.functions import clock, text
 from daymill.operators import coverage, filters, intervals, keys, market, summaries, upsert
 from daymill.operators.constraints import constraint_report
-from daymill.plans import calendars, cron, loads, sql_files, tables
+from daymill.plans import calendars, cron, loads, parameters, sql_files, tables
 from daymill.session import scratch_path
-from daymill.sinks import files, snapshots
+from daymill.sinks import files, sized, snapshots
 from daymill.sources import listings, market_json, objects
 from daymill.sources.tables import (
     current_schema,
@@ -291,6 +291,14 @@ def b7_partitioned_by_run_date(spark, sf_dir):
     return full_scan(spark, path).select("event_id", "value", "run_date")
 
 
+@registered
+def b7_sized_files(spark, sf_dir):
+    """Orders by year of their date, in files of half a megabyte."""
+    orders = table(spark, sf_dir, "orders").withColumn("run_date", F.trunc("o_orderdate", "year"))
+    path = sized.write_sized(orders, scratch_path(spark, "sized"), target_bytes=1 << 19)
+    return full_scan(spark, path)
+
+
 @registered
 def b8_recreate_users(spark, sf_dir):
     name = f"{fresh_schema(spark, 'recreate')}.users"
@@ -360,6 +368,26 @@ def b14_atomic_upsert(spark, sf_dir):
     )
 
 
+@registered
+def b12_merge_into(spark, sf_dir):
+    """Finished orders first, then all orders of urgent customers, by customer and priority."""
+    path, orders = scratch_path(spark, "merged"), table(spark, sf_dir, "orders")
+    keyed = ["o_custkey", "o_orderpriority"]
+
+    def totals(rows: DataFrame) -> DataFrame:
+        total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(18,2)")
+        return rows.groupBy(*keyed).agg(F.count("*").alias("order_cnt"), total.alias("total_amount"))
+
+    upsert.merge_into(totals(orders.where("o_orderstatus = 'F'")), path, keyed, upsert.MEASURES, FIRST_LOAD)
+    later = orders.where("o_orderpriority = '1-URGENT' OR o_orderstatus = 'P'")
+    upsert.merge_into(totals(later), path, keyed, upsert.MEASURES, SECOND_LOAD)
+    return snapshots.read_snapshot(spark, path).select(
+        *keyed, "order_cnt", "total_amount",
+        clock.instant_to_wall("created_at").alias("created_at"),
+        clock.instant_to_wall("updated_at").alias("updated_at"),
+    )
+
+
 @registered
 def b12_merge_actions(spark, sf_dir):
     orders = dated_orders(spark, sf_dir)
@@ -748,6 +776,21 @@ def j1_param_hourly_count(spark, sf_dir):
     return sql_files.run_file(spark, "hourly_count", **run_parameters(spark, sf_dir))
 
 
+# The same parameters, declared: the zone has a default, and moments must be moments.
+DECLARED = {
+    "zone": parameters.Param("string", default=SEOUL, choices=(SEOUL, "UTC")),
+    "src_schema": parameters.Param("string"),
+    "start": parameters.Param("moment"),
+    "end": parameters.Param("moment", minimum=RUN_START),
+}
+
+
+@registered
+def j1_declared_parameters(spark, sf_dir):
+    given = {k: v for k, v in run_parameters(spark, sf_dir).items() if k != "zone"}
+    return parameters.run_declared_file(spark, "hourly_count", DECLARED, **given)
+
+
 @registered
 def j2_param_equals_inline(spark, sf_dir):
     """The bound statement beside the same text with its values written out."""

@@ -20,6 +20,8 @@ from daymill.sinks import snapshots
 
 MEASURES = ("order_cnt", "total_amount")
 PARTITION = "summary_month"
+# Of tables that are merged by other keys than a date.
+BUCKET, BUCKETS = "key_bucket", 64
 
 # More touched partitions than this are matched by a join, not by a list.
 LISTED_PARTITIONS = 2_000
@@ -39,16 +41,23 @@ def month_of(day: Column | str) -> Column:
     return F.substring(F.to_date(day).cast("string"), 1, 7)
 
 
-def _matched(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+Key = str | Sequence[str]
+
+
+def _columns(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _matched(target: DataFrame, source: DataFrame, key: Key) -> DataFrame:
     old = target.withColumn("in_target", F.lit(True)).alias("old")
     new = source.withColumn("in_source", F.lit(True)).alias("new")
-    return old.join(new, key, "full_outer")
+    return old.join(new, _columns(key), "full_outer")
 
 
 def merge_rows(
     target: DataFrame,
     source: DataFrame,
-    key: str = "summary_date",
+    key: Key = "summary_date",
     measures: Sequence[str] = MEASURES,
     as_of: datetime | None = None,
 ) -> DataFrame:
@@ -61,7 +70,7 @@ def merge_rows(
         return F.when(touched, new).otherwise(old).alias(measure)
 
     return _matched(target, source, key).select(
-        key,
+        *_columns(key),
         *map(latest, measures),
         F.when(known, F.col("old.created_at")).otherwise(now).alias("created_at"),
         F.when(touched, now).otherwise(F.col("old.updated_at")).alias("updated_at"),
@@ -135,24 +144,63 @@ def upsert_snapshot(
     version to start from, the newest if not given; ``notes`` are published
     along with the rows. Without rows and notes there is no new version.
     """
+    return _publish_merged(source, path, key, measures, as_of, PARTITION, month_of(key), notes, base)
+
+
+def merge_into(
+    source: DataFrame,
+    path: str,
+    key: Key,
+    measures: Sequence[str],
+    as_of: datetime | None = None,
+    buckets: int = BUCKETS,
+    base: snapshots.Manifest | None = None,
+) -> snapshots.Manifest | None:
+    """Merge into a snapshot table by any key: matched rows are updated, others inserted, in one commit.
+
+    The key may have several columns, none null and no two rows alike. The
+    table is kept in ``buckets`` by a hash of the key, of which those that the
+    source reports are read and written; the number must not change once the
+    table is made. All else is as with ``upsert_snapshot``.
+    """
+    bucket = F.lpad(F.pmod(F.xxhash64(*_columns(key)), F.lit(buckets)).cast("string"), 6, "0")
+    made = base or snapshots.manifest(source.sparkSession, path)
+    if made is not None and made.notes.get("buckets") != buckets:
+        raise ValueError(f"{path} is kept in {made.notes.get('buckets')} buckets")
+    return _publish_merged(source, path, key, measures, as_of, BUCKET, bucket, {"buckets": buckets}, made)
+
+
+def _publish_merged(
+    source: DataFrame,
+    path: str,
+    key: Key,
+    measures: Sequence[str],
+    as_of: datetime | None,
+    partition: str,
+    part: Column,
+    notes: dict | None,
+    base: snapshots.Manifest | None,
+) -> snapshots.Manifest | None:
     spark = source.sparkSession
-    with staged(source.select(key, *measures), "upsert") as new:
-        require_constraints(new, key=key, not_null=(key, *measures))
-        months = [r[0] for r in new.select(month_of(key).alias(PARTITION)).distinct().collect()]
+    names = _columns(key)
+    with staged(source.select(*names, *measures), "upsert") as new:
+        whole = new.withColumn("_key", F.struct(*names)) if len(names) > 1 else new
+        require_constraints(whole, key="_key" if len(names) > 1 else names[0], not_null=(*names, *measures))
+        touched = [r[0] for r in new.select(part.alias(partition)).distinct().collect()]
         base = base or snapshots.manifest(spark, path)
-        if not months and notes is None:
+        if not touched and (notes is None or base and notes == base.notes):
             return base
         if base is None:
             columns = new.select(
-                key, *measures, *(F.current_timestamp().alias(c) for c in ("created_at", "updated_at")),
-                month_of(key).alias(PARTITION),
+                *names, *measures, *(F.current_timestamp().alias(c) for c in ("created_at", "updated_at")),
+                part.alias(partition),
             )
             existing = spark.createDataFrame([], columns.schema)
         else:
-            existing = snapshots.read_parts(spark, path, base, months)
-        merged = merge_rows(existing.drop(PARTITION), new, key, measures, as_of)
-        merged = merged.withColumn(PARTITION, month_of(key)).to(_nullable(existing.schema))
-        return snapshots.commit(merged, path, PARTITION, months, base, notes)
+            existing = snapshots.read_parts(spark, path, base, touched)
+        merged = merge_rows(existing.drop(partition), new, key, measures, as_of)
+        merged = merged.withColumn(partition, part).to(_nullable(existing.schema))
+        return snapshots.commit(merged, path, partition, touched, base, notes)
 
 
 def _nullable(schema: StructType) -> StructType:

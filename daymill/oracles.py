@@ -358,6 +358,7 @@ ORACLES = {
     """,
     "i11_strip_query": "SELECT page_id, split_part(url, '?', 1) AS uri FROM pages",
     "j1_param_hourly_count": f"{HOURLY} WHERE {RUN_BOUNDS} GROUP BY 1",
+    "j1_declared_parameters": f"{HOURLY} WHERE {RUN_BOUNDS} GROUP BY 1",
     "j2_param_equals_inline": f"""
         SELECT order_hour, cnt, cnt AS inline_cnt
         FROM ({HOURLY} WHERE {RUN_BOUNDS} GROUP BY 1) h
@@ -390,6 +391,22 @@ ORACLES = {
         WHERE interval_start <= (SELECT date_trunc('day', MAX(ts)) FROM events)
     """,
     "h3_cron_text_points": CRON_POINT,
+    "b12_merge_into": """
+        WITH first AS (
+            SELECT o_custkey, o_orderpriority, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total
+            FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey, o_orderpriority
+        ), later AS (
+            SELECT o_custkey, o_orderpriority, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total
+            FROM orders WHERE o_orderpriority = '1-URGENT' OR o_orderstatus = 'P' GROUP BY o_custkey, o_orderpriority
+        ), loads AS (
+            SELECT TIMESTAMP '2024-02-01 00:00:00' AS one, TIMESTAMP '2024-02-02 00:00:00' AS two
+        )
+        SELECT o_custkey, o_orderpriority, COALESCE(l.n, f.n) AS order_cnt, COALESCE(l.total, f.total) AS total_amount,
+               CASE WHEN f.n IS NULL THEN two ELSE one END AS created_at,
+               CASE WHEN l.n IS NULL THEN one ELSE two END AS updated_at
+        FROM first f FULL OUTER JOIN later l USING (o_custkey, o_orderpriority), loads
+    """,
+    "b7_sized_files": "SELECT *, CAST(date_trunc('year', o_orderdate) AS DATE) AS run_date FROM orders",
     "b14_atomic_upsert": f"""
         WITH urgent AS (
             SELECT {ORDERS_DAILY} FROM orders

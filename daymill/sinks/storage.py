@@ -21,6 +21,12 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in store.listStatus(at))
 
 
+def bytes_in(spark: SparkSession, folder: str) -> int:
+    """The bytes of all files below a folder."""
+    store, at = _at(spark, folder)
+    return store.getContentSummary(at).getLength()
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     store, at = _at(spark, path)
     stream = store.open(at)

@@ -127,3 +127,22 @@ def test_notes_travel_with_the_rows(spark, path):
     assert snapshots.manifest(spark, path).notes == made.notes == {"covered": ["a"]}
     assert json.loads(made.schema)["type"] == "struct"
     assert len(tuples(snapshots.read_snapshot(spark, path))) == 3
+
+
+def test_merge_by_any_key(spark, path):
+    schema = "region STRING, day DATE, n BIGINT"
+    jan, feb = date(2024, 1, 1), date(2024, 2, 1)
+    first = spark.createDataFrame([("a", jan, 1), ("b", jan, 2), ("a", feb, 3)], schema)
+    second = spark.createDataFrame([("a", jan, 10), ("c", jan, 4)], schema)
+    key = ["region", "day"]
+    upsert.merge_into(first, path, key, ["n"], T1, buckets=3)
+    upsert.merge_into(second, path, key, ["n"], T2, buckets=3)
+    rows = tuples(snapshots.read_snapshot(spark, path).select("region", "day", "n", F.dayofmonth("created_at"), F.dayofmonth("updated_at")))
+    assert rows == [("a", jan, 10, 1, 2), ("a", feb, 3, 1, 1), ("b", jan, 2, 1, 1), ("c", jan, 4, 2, 2)]
+    assert snapshots.read_snapshot(spark, path, 1).count() == 3
+    for bad in ([("d", jan, 1), ("d", jan, 2)], [(None, jan, 1)], [("d", jan, None)]):
+        with pytest.raises(ConstraintViolation):
+            upsert.merge_into(spark.createDataFrame(bad, schema), path, key, ["n"], T3, buckets=3)
+    with pytest.raises(ValueError, match="3 buckets"):
+        upsert.merge_into(second, path, key, ["n"], T3, buckets=4)
+    assert upsert.merge_into(second.limit(0), path, key, ["n"], T3, buckets=3).version == 2

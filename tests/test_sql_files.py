@@ -4,7 +4,8 @@ import pytest
 from frames import plan_of, tuples
 
 from daymill.operators.summaries import daily_summary, hourly_count
-from daymill.plans import loads, sql_files, tables
+from daymill.plans import loads, parameters, sql_files, tables
+from daymill.plans.parameters import Param
 from daymill.sinks import files
 from daymill.sources import jdbc
 
@@ -159,3 +160,38 @@ def test_jdbc_reads_through_spark(spark):
     """There is no such driver: Spark's JDBC source is asked, and says so."""
     with pytest.raises(Exception, match="No suitable driver"):
         jdbc.read_query(spark, "jdbc:none://h/d", "SELECT 1 AS a")
+
+
+DECLARED = {
+    "src_schema": Param("string"), "zone": Param("string", default=SEOUL, choices=(SEOUL, "UTC")),
+    "start": Param("moment"), "end": Param("moment", minimum=START),
+}
+
+
+def test_declared_parameters(spark, stage):
+    given = {"src_schema": stage, "start": START, "end": END}
+    got = parameters.run_declared_file(spark, "daily_summary", DECLARED, **given)
+    assert tuples(got) == tuples(sql_files.run_file(spark, "daily_summary", zone=SEOUL, **given))
+    one = parameters.run_declared(spark, "SELECT :n + 1 AS n", {"n": Param("integer", default=4, nullable=True)})
+    assert tuples(one) == [(5,)]
+
+
+@pytest.mark.parametrize("change,message", [
+    ({"start": "2024-01-01"}, "start is to be a moment"), ({"zone": "Mars"}, "one of"), ({"zone": 7}, "string"),
+    ({"src_schema": None}, "null"), ({"other": 1}, "not declared: other"), ({"end": datetime(2020, 1, 1, tzinfo=timezone.utc)}, "bounds"),
+    ({"end": datetime(2030, 1, 1)}, "compared"),
+])
+def test_a_wrong_parameter_is_refused_before_the_statement_runs(spark, change, message):
+    given = {"src_schema": "no_such_schema", "start": START, "end": END} | change
+    with pytest.raises(parameters.ParameterError, match=message):
+        parameters.run_declared(spark, "SELECT no_such_function(:start)", DECLARED, **given)
+
+
+def test_declarations_are_checked():
+    for kind, value in (("integer", True), ("integer", 1.5), ("date", START), ("boolean", 1), ("number", "1"), ("string", b"x")):
+        with pytest.raises(parameters.ParameterError):
+            Param(kind, default=value)
+    with pytest.raises(parameters.ParameterError, match="none of"):
+        Param("text")
+    with pytest.raises(parameters.ParameterError, match="left out: start"):
+        parameters.resolved({"start": Param("moment"), "n": Param("number", default=1)}, {})
