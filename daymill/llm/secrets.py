@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import codecs
 import hashlib
+import lzma
 import re
 import zlib
 from bisect import bisect_right
@@ -18,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daymill.llm.shared import only_holder
+
 # The kinds in their order, their patterns, and the least length of what counts.
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(
@@ -30,7 +34,26 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 
 URL_ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE_ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|x[0-9A-Fa-f]{1,6});")
+UNICODE_ESCAPES = re.compile(
+    r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|%u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\})+"
+    r"|&#(?:[0-9]{1,7}|x[0-9A-Fa-f]{1,6});"
+)
+# Runs of an address or a form, in which a plus may stand for a blank.
+FORM_RUNS = re.compile(r"[A-Za-z0-9_.~*%+&=:;,@/?-]{4,}")
+FORM_ESCAPES = re.compile(r"\+|(?:%[0-9A-Fa-f]{2})+")
+# Compressed bytes of which only those are escaped that are no plain characters. They begin as
+# gzip, zlib, bz2 and xz streams do.
+PACKED_IN_URL = re.compile(
+    r"(?:%1[fF]%8[bB]|(?:x|%78)%(?:01|5[eE]|9[cC]|[dD][aA])|BZh[1-9]1AY(?:%26|&)SY|%[fF][dD]7zXZ%00)"
+    r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~!*'()+/-])*"
+)
+PACKED_IN_ESCAPES = re.compile(
+    r"(?:\\x1[fF]\\x8[bB]|(?:x|\\x78)\\x(?:01|5[eE]|9[cC]|[dD][aA])|BZh[1-9]1AY&SY|\\x[fF][dD]7zXZ\\x00)"
+    r"(?:\\x[0-9A-Fa-f]{2}|\\[abfnrtv0'\"\\]|[\x20-\x5b\x5d-\x7e])*"
+)
+PACKED_BYTES = re.compile(r"%[0-9A-Fa-f]{2}|\\x[0-9A-Fa-f]{2}|\\.|.")
+# Bytes that a backslash and a letter stand for.
+LETTER_ESCAPES = {"a": 7, "b": 8, "f": 12, "n": 10, "r": 13, "t": 9, "v": 11, "0": 0}
 # Runs, and the lines of runs that follow one another.
 BASE64_RUNS = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}(?:\r?\n[\t\x20]*[A-Za-z0-9+/_-]+={0,2})*")
 BASE64_LINES = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
@@ -109,12 +132,52 @@ class TooLarge(Exception):
     """A compressed layer beyond ``LAYER_BYTES``; the argument is what to unwrap."""
 
 
-def _wraps(raw: bytes) -> int:
-    return 31 if raw[:2] == b"\x1f\x8b" else 15 if raw[:1] == b"\x78" else 0
+# Memory that an xz stream may ask for: more than the largest usual setting does.
+XZ_BYTES = 128_000_000
+# Fixed value: what stands before a deflate stream in gzip.
+GZIP_HEADER = b"\x1f\x8b\x08\0\0\0\0\0\0\x03"
+# What decompressors raise on bytes that are no such stream.
+BROKEN = (zlib.error, lzma.LZMAError, OSError, EOFError, ValueError)
+
+
+class _Held:
+    """A bz2 or xz decompressor; input that it has not taken yet is ``unconsumed_tail``, as with zlib."""
+
+    def __init__(self, stream):
+        self._stream, self.unconsumed_tail = stream, b""
+
+    eof = property(lambda self: self._stream.eof)
+    unused_data = property(lambda self: self._stream.unused_data)
+
+    @property
+    def pending(self) -> bool:
+        """Whether there is more to come without further input."""
+        return not self._stream.eof and not self._stream.needs_input
+
+    def decompress(self, raw: bytes, most: int) -> bytes:
+        if self.pending:
+            self.unconsumed_tail = raw
+            return self._stream.decompress(b"", most)
+        self.unconsumed_tail = b""
+        return self._stream.decompress(raw, most)
+
+
+def _wraps(raw: bytes) -> bool:
+    """Whether bytes begin as a gzip, zlib, bz2 or xz stream does."""
+    return raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" or raw[:3] == b"BZh" or raw[:6] == b"\xfd7zXZ\x00"
+
+
+def _stream(raw: bytes):
+    """A decompressor of what bytes begin with."""
+    if raw[:3] == b"BZh":
+        return _Held(bz2.BZ2Decompressor())
+    if raw[:1] == b"\xfd":
+        return _Held(lzma.LZMADecompressor(lzma.FORMAT_XZ, memlimit=XZ_BYTES))
+    return zlib.decompressobj(31 if raw[:1] == b"\x1f" else 15)
 
 
 def _inflated(raw: bytes) -> bytes:
-    """What gzip or zlib members in a row hold, down through streams within streams; else ``raw``.
+    """What gzip, zlib, bz2 or xz members in a row hold, down through streams within streams; else ``raw``.
 
     What follows the last member is kept if it is text; of one cut short what is there.
     """
@@ -122,11 +185,11 @@ def _inflated(raw: bytes) -> bytes:
     while raw not in seen:
         seen.add(raw)
         out, size, rest = [], 0, raw
-        while wraps := _wraps(rest):
-            stream = zlib.decompressobj(wraps)
+        while _wraps(rest):
+            stream = _stream(rest)
             try:
                 member = stream.decompress(rest, LAYER_BYTES + 1 - size)
-            except zlib.error:
+            except BROKEN:
                 break
             size += len(member)
             if size > LAYER_BYTES:
@@ -145,37 +208,38 @@ def _inflated(raw: bytes) -> bytes:
 def _pieces(chunks: Iterator[bytes], seen: frozenset[bytes] = frozenset()) -> Iterator[bytes]:
     """What ``_inflated`` gives, in pieces, however large; of a broken stream what comes before the break."""
     head = next(chunks, b"")
-    while len(head) < 2 and (more := next(chunks, b"")):
+    while len(head) < 6 and (more := next(chunks, b"")):
         head += more
     if not _wraps(head) or head in seen:
         yield from chain([head], chunks)
         return
-    inner = _stream_pieces(_wraps(head), chain([head], chunks))
+    inner = _stream_pieces(_stream(head), chain([head], chunks))
     try:
         first = next(inner, b"")
-    except zlib.error:
+    except BROKEN:
         yield from chain([head], chunks)
         return
     yield from _pieces(chain([first], _until_broken(inner)), seen | {head})
 
 
-def _stream_pieces(wraps: int, chunks: Iterator[bytes]) -> Iterator[bytes]:
+def _stream_pieces(stream, chunks: Iterator[bytes]) -> Iterator[bytes]:
     """The members in a row, and what follows the last one."""
-    stream, rest, fresh = zlib.decompressobj(wraps), b"", False
+    rest, fresh = b"", False
     for chunk in chunks:
         rest += chunk
-        while rest:
+        while rest or getattr(stream, "pending", False):
             if stream.eof:
                 rest = rest.lstrip(b"\0")
-                if len(rest) < 2:
-                    break
-                if not (wraps := _wraps(rest)):
+                if len(rest) < 6 and (more := next(chunks, b"")):
+                    rest += more
+                    continue
+                if not _wraps(rest):
                     yield from chain([rest], chunks)
                     return
-                stream, fresh = zlib.decompressobj(wraps), True
+                stream, fresh = _stream(rest), True
             try:
                 out = stream.decompress(rest, WINDOW_CHARS)
-            except zlib.error:
+            except BROKEN:
                 # What only begins like another member is text.
                 if fresh:
                     yield from chain([rest], chunks)
@@ -192,7 +256,7 @@ def _stream_pieces(wraps: int, chunks: Iterator[bytes]) -> Iterator[bytes]:
 def _until_broken(pieces: Iterator[bytes]) -> Iterator[bytes]:
     try:
         yield from pieces
-    except zlib.error:
+    except BROKEN:
         return
 
 
@@ -229,26 +293,111 @@ def _kinds_within(raw: bytes) -> set[str]:
     return kinds
 
 
-def _url(escapes: str) -> str | None:
-    raw = bytes.fromhex(escapes.replace("%", ""))
-    text = raw.decode("utf-8", "replace")
+def _text_of(raw: bytes) -> str | TooLarge | None:
+    """The text that escaped bytes stand for, compressed ones inflated."""
+    if _wraps(raw):
+        try:
+            if (inflated := _inflated(raw)) != raw:
+                return _mostly_readable(inflated)
+        except TooLarge as found:
+            return found
+    text = _utf16(raw) or raw.decode("utf-8", "replace")
     return None if not text.strip("\ufffd") else text
 
 
-def _unicode(escapes: str) -> str | None:
+def _utf16(raw: bytes) -> str | None:
+    """The text of UTF-16 bytes, most of which are characters of one byte and a zero."""
+    if len(raw) < 8:
+        return None
+    marked = {b"\xff\xfe": "utf-16-le", b"\xfe\xff": "utf-16-be"}.get(raw[:2])
+    even, odd = raw[::2].count(0), raw[1::2].count(0)
+    order = marked or ("utf-16-le" if odd > even else "utf-16-be")
+    if not marked and 5 * max(even, odd) < 2 * len(raw):
+        return None
+    body = raw[2:] if marked else raw
+    return _readable(body[: len(body) // 2 * 2].decode(order, "replace").encode("utf-8", "replace"))
+
+
+def _deflated(raw: bytes) -> str | TooLarge | None:
+    """The text of a deflate stream without a header, which ends where the bytes do."""
+    stream = zlib.decompressobj(-15)
+    try:
+        out = stream.decompress(raw, LAYER_BYTES + 1)
+    except zlib.error:
+        return None
+    if len(out) > LAYER_BYTES:
+        return TooLarge(GZIP_HEADER + raw)
+    return _readable(out) if stream.eof and not stream.unused_data else None
+
+
+def _url(escapes: str) -> str | TooLarge | None:
+    return _text_of(bytes.fromhex(escapes.replace("%", "")))
+
+
+def _form_parts(run: str) -> Iterator[Part]:
+    """Escapes and pluses of a run that has both, as they are in forms."""
+    if "+" in run and "%" in run:
+        for m in FORM_ESCAPES.finditer(run):
+            text = " " if m.group() == "+" else _url(m.group())
+            if text is not None:
+                yield *m.span(), text
+
+
+def _packed_parts(run: str) -> Iterator[Part]:
+    """The text of compressed bytes, up to where their stream ends."""
+    raw, pluses, ends = bytearray(), [], []
+    for m in PACKED_BYTES.finditer(run):
+        token = m.group()
+        if len(token) > 2:
+            raw.append(int(token[-2:], 16))
+        elif len(token) == 2:
+            raw.append(LETTER_ESCAPES.get(token[1], ord(token[1])))
+        else:
+            if token == "+":
+                pluses.append(len(raw))
+            raw.append(ord(token))
+        ends.append(m.end())
+    # In a form, a plus is the byte of a blank.
+    blanked = bytearray(raw)
+    for at in pluses:
+        blanked[at] = 0x20
+    for some in dict.fromkeys((bytes(raw), bytes(blanked))):
+        try:
+            stream = _stream(some)
+            out = stream.decompress(some, LAYER_BYTES + 1)
+        except BROKEN:
+            continue
+        used = len(some) - len(stream.unused_data) if stream.eof else len(some)
+        if not out or not used:
+            continue
+        try:
+            text = _mostly_readable(_inflated(some[:used]))
+        except TooLarge as found:
+            text = found
+        if text is not None:
+            yield 0, ends[used - 1], text
+            return
+
+
+def _unicode(escapes: str) -> str | TooLarge | None:
     if escapes[0] == "&":
         digits = escapes[2:-1]
         code = int(digits[1:], 16) if digits[0] == "x" else int(digits)
         return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
-    units = [int(x, 16) for x in re.findall(r"\\[ux]([0-9A-Fa-f]+)", escapes)]
-    text = b"".join(u.to_bytes(2, "little") for u in units).decode("utf-16-le", "replace")
+    codes = [int(x, 16) for x in re.findall(r"[\\%][uxU]\{?([0-9A-Fa-f]+)", escapes)]
+    if max(codes) < 256 and _wraps(raw := bytes(codes)):
+        return _text_of(raw)
+    if max(codes) > 0x10FFFF:
+        return None
+    units = (chr(c).encode("utf-16-le", "surrogatepass") for c in codes)
+    text = b"".join(units).decode("utf-16-le", "replace")
     return None if not text.strip("\ufffd") else text
 
 
 Part = tuple[int, int, str | TooLarge]
 
 
-def _whole(decode: Callable[[str], str | None]) -> Callable[[str], Iterator[Part]]:
+def _whole(decode: Callable[[str], str | TooLarge | None]) -> Callable[[str], Iterator[Part]]:
     """A decoder of a run as one part."""
 
     def parts(run: str) -> Iterator[Part]:
@@ -269,13 +418,18 @@ def _bytes_of(body: str) -> bytes:
 
 
 def _base64(body: str, read: Callable[[bytes], str | None], begins: bool = False) -> str | TooLarge | None:
-    """What base64 stands for; if ``begins``, only if its first bytes are text or a stream already."""
+    """What base64 stands for; if ``begins``, only if its first bytes are text or a stream already.
+
+    What is no text in UTF-8 may be one in UTF-16, or deflated without a header.
+    """
     if begins and not _wraps(head := _bytes_of(body[:64])) and _mostly_readable(head) is None:
         return None
     try:
-        return read(_inflated(_bytes_of(body)))
+        raw = _inflated(_bytes_of(body))
     except TooLarge as found:
         return found
+    text = _utf16(raw) or read(raw)
+    return text if text is not None or begins else _deflated(raw)
 
 
 def _words_of_run(body: str) -> Iterator[Part]:
@@ -350,6 +504,9 @@ def _base64_parts(block: str) -> Iterator[Part]:
 
 DECODERS: tuple[tuple[str | None, re.Pattern, Callable[[str], Iterator[Part]]], ...] = (
     ("%", URL_ESCAPES, _whole(_url)),
+    ("%", FORM_RUNS, _form_parts),
+    ("%", PACKED_IN_URL, _packed_parts),
+    ("\\x", PACKED_IN_ESCAPES, _packed_parts),
     (None, UNICODE_ESCAPES, _whole(_unicode)),
     (None, BASE64_RUNS, _base64_parts),
 )
@@ -479,6 +636,7 @@ def scan_documents(docs: DataFrame, text: str = "text", keep_text: bool = True)
     schema = _schema_with(docs.select(*kept), RESULT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_holder("secrets", lambda: None)
         types = {"bigint": pa.int64(), "string": pa.string()}
         for batch in batches:
             rows = _results(batch.column(batch.schema.get_field_index(text)).to_pylist())
@@ -491,5 +649,9 @@ def scan_documents(docs: DataFrame, text: str = "text", keep_text: bool = True)
 
 @F.pandas_udf(T.StringType())
 def redact(texts: pd.Series) -> pd.Series:
-    """Texts without their secrets; a text without any stays as it is, a null one null."""
+    """Texts without their secrets; a text without any stays as it is, a null or empty one too.
+
+    Texts are read whole, however long; repeated texts give equal ones.
+    """
+    only_holder("secrets", lambda: None)
     return texts.map(lambda t: t if t is None else redacted(t, find_secrets(t)[1]))
