@@ -88,6 +88,23 @@ def merge_actions(target: DataFrame, source: DataFrame, key: str = "summary_date
     return keys.select(key, action.alias("action"))
 
 
+def _checked(new: DataFrame, key: Sequence[str], measures: Sequence[str], part: Column) -> list[str]:
+    """The partitions that rows fall in, in the pass that checks keys and measures.
+
+    Rows are counted by key where they lie, then by partition.
+    """
+    missing = [F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate((*key, *measures))]
+    by_key = new.groupBy(*key).agg(F.count("*").alias("_n"), *missing)
+    broken = sum((F.col(f"_{i}") for i in range(len(missing))), F.col("_n") - 1)
+    found = by_key.groupBy(part.alias("_part")).agg(F.sum(broken).alias("_broken")).collect()
+    if any(r["_broken"] for r in found):
+        if len(key) == 1:
+            require_constraints(new, key=key[0], not_null=(*key, *measures))
+        else:
+            require_constraints(new.withColumn("_key", F.struct(*key)), key="_key", not_null=(*key, *measures))
+    return [r["_part"] for r in found]
+
+
 def upsert_table(
     source: DataFrame,
     table: str,
@@ -105,18 +122,17 @@ def upsert_table(
     spark = source.sparkSession
     incoming = source.select(key, *measures)
     with staged(incoming, "upsert") as new:
-        require_constraints(new, key=key, not_null=(key, *measures))
+        months = _checked(new, [key], measures, month_of(key))
         # Other sessions may have written since this one last listed the files.
         spark.catalog.refreshTable(table)
         target = spark.table(table)
-        months = new.select(month_of(key).alias(PARTITION)).distinct()
-        listed = months.limit(LISTED_PARTITIONS + 1).collect()
-        if not listed:
+        if not months:
             return
-        if len(listed) <= LISTED_PARTITIONS:
-            existing = target.where(F.col(PARTITION).isin(*(r[PARTITION] for r in listed)))
+        if len(months) <= LISTED_PARTITIONS:
+            existing = target.where(F.col(PARTITION).isin(*months))
         else:
-            existing = target.join(months, PARTITION, "left_semi")
+            touched = new.select(month_of(key).alias(PARTITION)).distinct()
+            existing = target.join(touched, PARTITION, "left_semi")
         merged = (
             merge_rows(existing.drop(PARTITION), new, key, measures, as_of)
             .withColumn(PARTITION, month_of(key))
@@ -184,9 +200,7 @@ def _publish_merged(
     spark = source.sparkSession
     names = _columns(key)
     with staged(source.select(*names, *measures), "upsert") as new:
-        whole = new.withColumn("_key", F.struct(*names)) if len(names) > 1 else new
-        require_constraints(whole, key="_key" if len(names) > 1 else names[0], not_null=(*names, *measures))
-        touched = [r[0] for r in new.select(part.alias(partition)).distinct().collect()]
+        touched = _checked(new, names, measures, part)
         base = base or snapshots.manifest(spark, path)
         if not touched and (notes is None or base and notes == base.notes):
             return base
