@@ -18,9 +18,12 @@ WEIGHTS = (5, 2, 1)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail no rule of the policy in use."""
-    entries = quality_rules.ledger(docs.select("*"))
-    return entries.filter(quality_rules.passes(quality_rules.PRODUCTION)).select(*docs.columns)
+    """Documents that fail no rule of the policy in use, with all their columns as they are."""
+    added = set(quality_rules.ledger(docs.select("text")).columns) - {"text"}
+    own = {c: f"__own_{c}" for c in docs.columns if c in added}
+    entries = quality_rules.ledger(docs.withColumnsRenamed(own))
+    kept = entries.filter(quality_rules.passes(quality_rules.PRODUCTION))
+    return kept.select(*(F.col(own.get(c, c)).alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +44,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, ``lang``, ``source``, ``n_tokens`` and ``ids`` of every row."""
+    """``doc_id``, ``lang``, ``source``, ``n_tokens`` and ``ids`` of every row; no other column stays."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     rows = docs.select("doc_id", "lang", "source", "text")
     return byte_bpe.encode_documents(rows, ranks)

@@ -1,7 +1,9 @@
+import hashlib
 import itertools
 import math
 import random
 import sys
+import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -56,6 +58,22 @@ def test_shards_match_the_mixture(spark, odd_docs, no_docs):
     assert sharding.interleave(no_docs, 4).count() == 0
 
 
+def test_shards_equal_a_plain_ranking(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "source").collect()]
+    ranked, by_source = [], defaultdict(list)
+    for doc_id, text, source in docs:
+        crc, name = zlib.crc32((text or "").encode()), "b" if source is None else f"a{source}"
+        by_source[name].append((hashlib.md5(f"17:{doc_id}:{crc}:{name}".encode()).hexdigest(), doc_id))
+    for name, rows in by_source.items():
+        ranked += [((r - 0.5) / len(rows), name, doc_id) for r, (_, doc_id) in enumerate(sorted(rows), 1)]
+    want = {}
+    for place, (_, _, doc_id) in enumerate(sorted(ranked)):
+        shard = place * queries.SHARDS // len(docs)
+        want[doc_id] = (shard, place - -(-shard * len(docs) // queries.SHARDS))
+    got = queries.QUERIES["op6_sharding"](spark, SF_DIR).collect()
+    assert {r.doc_id: (r.shard, r.slot) for r in got} == want and len(got) == len(docs)
+
+
 # Mixing
 
 
@@ -158,6 +176,18 @@ def test_odd_rows_of_near_duplicates(spark, odd_docs, no_docs):
     assert got == Counter([(1, 1), (5, 1), (1, 1), (9, 9), (None, 9)])
 
 
+def test_rows_without_an_id_are_compared(spark):
+    """Of alike rows without an id one stays; beside an id that one stays."""
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, "The Quick brown"), (None, "the quick  brown"), (None, "the quick  brown"), (None, long), (7, long + " x"), (None, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    found = [(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs, words=2).collect()]
+    assert Counter(f for f in found if f[1] == 7) == Counter([(7, 7, True), (None, 7, False)])
+    kept = [tuple(r) for r in near_dedup.one_of_each(docs, words=2).collect()]
+    assert len(kept) == 3 and {k[0] for k in kept} == {None, 7} and (7, long + " x") in kept and (None, "alone") in kept
+    assert near_dedup.one_of_each(docs.withColumn("__note", F.lit(1)), words=2).columns == ["doc_id", "text", "__note"]
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 400), (7, 7)], "a BIGINT, b BIGINT")
     got = {r.node: r.component for r in near_dedup.components(links).collect()}
@@ -290,6 +320,10 @@ def test_pipeline_stages(spark):
         docs.schema,
     )
     docs = docs.unionByName(planted)
+    named = docs.withColumn("n_words", F.lit(-99)).withColumn("failed", F.lit("mine"))
+    judged = corpus_pipeline.quality(spark, named, SF_DIR)
+    assert judged.columns == named.columns
+    assert {(r.n_words, r.failed) for r in judged.collect()} == {(-99, "mine")}
     seen = {}
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_DIR)
