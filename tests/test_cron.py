@@ -108,3 +108,22 @@ def test_times_where_clocks_change(spark, line, zone, start_utc):
     year = bounds(spark, date(2024, 1, 1), date(2024, 12, 31))
     runs = C.with_utc_bounds(cron.cron_calendar(year, line), zone)
     assert [r.start_utc for r in runs.collect()] == [start_utc]
+
+
+@pytest.mark.parametrize("line,days", [
+    # Tuesday to Saturday, and Monday to Friday: the run before a free day covers it.
+    ("0 0 * * 2-6", [1, 2, 3, 6, 7]), ("0 0 * * 1-5", [1, 2, 5, 6, 7]),
+])
+def test_worked_answers_from_text(spark, line, days):
+    runs = tuples(cron.cron_calendar(bounds(spark, date(2026, 1, 1), "2026-01-06 23:59:59"), line))
+    starts = [datetime(2026, 1, d) for d in days]
+    assert [r[:2] for r in runs] == list(zip(starts, starts[1:]))
+
+
+def test_business_days_from_text(spark):
+    holidays = [date(2026, 2, d) for d in (16, 17, 18)]
+    month = bounds(spark, date(2026, 2, 6), "2026-02-20 23:59:59")
+    daily = C.drop_holidays(cron.cron_window_calendar(month, "0 0 * * MON-FRI", "1 DAY", ahead=True), holidays)
+    assert tuples(daily) == tuples(C.business_interval_calendar(month, holidays))
+    behind = C.drop_holidays(cron.cron_window_calendar(month, "0 0 * * 2-6", "1 DAY"), holidays, shift_days=1)
+    assert tuples(behind) == tuples(C.business_point_calendar(month, holidays))
