@@ -16,7 +16,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 PASSAGE_WORDS, BAG, HIDDEN = 64, 64, 24
 # At most so many labelled documents of each class are used to fit the model.
@@ -219,9 +218,12 @@ def train(
     """
     known = labels.filter("doc_id IS NOT NULL AND label IN (0, 1)")
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("place", F.row_number().over(order))
-    chosen = chosen.filter(F.col("place") <= sample_of_class).drop("place")
+    # Each task passes on its first rows of a class, so none holds a class as a whole.
+    first = [
+        known.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_of_class)
+        for label in (0, 1)
+    ]
+    chosen = first[0].unionByName(first[1])
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     # The sample is bounded by its parameter, so it may be broadcast.
     found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
