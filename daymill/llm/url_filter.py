@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymill.llm.shared import ascii_lower
@@ -80,11 +80,12 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(whole, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def _trie_verdicts(rules: Sequence[Rule], default: str):
-    trie = Trie(rules)
+def _trie_verdicts(spark: SparkSession, rules: Sequence[Rule], default: str):
+    sent = spark.sparkContext.broadcast(Trie(rules))  # read once by each worker
 
     @F.pandas_udf("rule string, verdict string")
     def judge(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        trie = sent.value
         for hosts, paths in batches:
             found = [trie.find(h, p) for h, p in zip(hosts, paths)]
             yield pd.DataFrame({
@@ -110,7 +111,7 @@ def filter_urls(
     if len(rules) > MOST_RULES or sum(len(r.text) for r in rules) > MOST_CHARS:
         raise ValueError("too many rules for a broadcast trie; use filter_urls_by_join")
     parts = pages.withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
-    judged = parts.withColumn("__found", _trie_verdicts(rules, default)("host", "path"))
+    judged = parts.withColumn("__found", _trie_verdicts(pages.sparkSession, rules, default)("host", "path"))
     return judged.withColumns(
         {"rule": F.col("__found.rule"), "verdict": F.col("__found.verdict")}
     ).drop("__found")
@@ -130,10 +131,11 @@ def filter_urls_by_join(
         F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
-    starts = F.transform(
-        F.sequence(F.lit(0), F.length("path")), lambda n: F.col("path").substr(F.lit(1), n)
-    )
-    keys = parts.select("host", "path").distinct()
+    # Beginnings of the lengths that rules have, so a long url is not cut at every character.
+    lengths = rules.agg(F.array_sort(F.collect_set(F.length("path"))).alias("lengths")).scalar()
+    fitting = F.filter("__lengths", lambda n: n <= F.length("path"))
+    starts = F.transform(fitting, lambda n: F.col("path").substr(F.lit(1), n))
+    keys = parts.select("host", "path").distinct().withColumn("__lengths", lengths)
     probes = keys.select("*", F.explode(suffixes).alias("__host")).select(
         "*", F.explode(starts).alias("__path")
     )
