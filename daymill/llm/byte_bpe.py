@@ -11,16 +11,15 @@ from functools import lru_cache
 
 import pyarrow as pa
 import regex
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from daymill.llm.pieces import ChunkCache
-
-# Fixed value: the pattern that splits a text before merging, as public rank files assume it.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+from daymill.llm.shared import only_holder, seldom_collected
 
 # What is kept before starting over, texts encoded at once, and ids decoded at once.
-MOST_STATES, MOST_PAIRS, MOST_CHUNKS = 220_000, 800_000, 500_000
+MOST_STATES, MOST_PAIRS, MOST_BYTES = 220_000, 800_000, 120_000_000
 TEXTS_AT_ONCE, IDS_AT_ONCE = 500, 1 << 16
 NEVER = 1 << 40
 
@@ -72,6 +71,18 @@ class Transducer:
         self._ends: list[tuple[int, ...]] = [()]
         self._steps: dict[int, tuple[int, tuple[int, ...]]] = {}
 
+    def _start_over(self, state: int) -> int:
+        """Forget all states but one, which gets a new number, also within a piece."""
+        places, ends = self._states[state], self._ends[state]
+        self._forget()
+        self._fits.clear()
+        if places in self._numbers:
+            return self._numbers[places]
+        self._numbers[places] = 1
+        self._states.append(places)
+        self._ends.append(ends)
+        return 1
+
     def merged(self, text: bytes, stop: int = 1) -> list[int]:
         """The text merged by rank, pair by pair, until ``stop`` parts are left."""
         ranks, parts = self.ranks, [text[i : i + 1] for i in range(len(text))]
@@ -165,13 +176,14 @@ class Transducer:
         return step
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self._states) > self.most_states:
-            self._forget()
-        if len(self._fits) > MOST_PAIRS:
-            self._fits.clear()
         steps, state, ids = self._steps, 0, []
         for byte in piece:
-            step = steps.get(state << 8 | byte) or self._step(state, byte)
+            step = steps.get(state << 8 | byte)
+            if step is None:
+                if len(self._states) > self.most_states or len(self._fits) > MOST_PAIRS:
+                    state = self._start_over(state)
+                    steps = self._steps
+                step = self._step(state, byte)
             state = step[0]
             if step[1]:
                 ids += step[1]
@@ -185,7 +197,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.transducer = Transducer(ranks)
         self._split = regex.compile(PATTERN)
-        self._cache = ChunkCache(self._encode, MOST_CHUNKS)
+        self._cache = ChunkCache(self._encode, MOST_BYTES)
 
     def _encode(self, chunks: Iterable[str]) -> Iterator[bytes]:
         encode, split = self.transducer.encode, self._split.findall
@@ -246,6 +258,8 @@ def encode_documents(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_holder("byte_bpe", encoder_of.cache_clear)
+        seldom_collected()
         encoder = encoder_of(ranks_path)
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
@@ -273,6 +287,8 @@ def round_trip(docs: DataFrame, ranks_path: str, *, text: str = "text") -> DataF
     schema = T.StructType(docs.select(*kept).schema.fields + new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_holder("byte_bpe", encoder_of.cache_clear)
+        seldom_collected()
         encoder = encoder_of(ranks_path)
         decoder = StreamDecoder(encoder.transducer.ranks)
         for whole in batches:

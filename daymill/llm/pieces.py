@@ -18,11 +18,28 @@ CHUNKS = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
 UNUSUAL = re.compile(f"[{WHITE.replace(' ', '').replace(chr(9) + '-' + chr(13), chr(9) + chr(11) + '-' + chr(13))}]|  |\n\n|\n | \n| $")
 
 
-def chunks_of(text: str) -> list[str]:
+def split_at_blanks(text: str) -> tuple[str, list[str]] | None:
+    """The first chunk, and the others without the blank they begin with; None for unusual texts.
+
+    A chunk that begins with a line break keeps it, and has no blank.
+    """
     if UNUSUAL.search(text):
-        return CHUNKS.findall(text)
+        return None
     first, *rest = text.replace("\n", " \n").split(" ")
-    chunks = [c if c[0] == "\n" else " " + c for c in rest]
+    return first, rest
+
+
+def whole_chunk(chunk: str) -> str:
+    """A chunk as ``split_at_blanks`` gives it, with its blank."""
+    return chunk if chunk[0] == "\n" else " " + chunk
+
+
+def chunks_of(text: str) -> list[str]:
+    parts = split_at_blanks(text)
+    if parts is None:
+        return CHUNKS.findall(text)
+    first, rest = parts
+    chunks = [whole_chunk(c) for c in rest]
     return [first, *chunks] if first else chunks
 
 
@@ -38,23 +55,75 @@ def letters_and_marks(chunk: str) -> tuple[str, ...]:
     return letters, chunk[len(letters) :]
 
 
-class ChunkCache(dict):
-    """Encodings by chunk, emptied when full, so that its memory is bounded."""
+# Bytes that an entry of a cache takes beside its key and value, about.
+ENTRY_BYTES = 200
+
+
+class ChunkCache:
+    """Encodings by chunk, emptied when they take too many bytes, so that memory is bounded.
+
+    Chunks are kept by the text between blanks, as splitting gives it; those
+    that do not follow a blank or line break have a table of their own.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], most_bytes: int):
+        self.encode, self.most_bytes = encode, most_bytes
+        self.clear()
+
+    def clear(self) -> None:
+        self.blanked: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {"": b""}
+        self.bytes = 0
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], most: int):
-        super().__init__()
-        self.encode, self.most = encode, most
+    def _learn(self, blanked: set[str], bare: set[str]) -> None:
+        """Encode chunks together. A chunk with halves is put together from those, which are kept too."""
+        halved = []
+        for table, unseen in ((self.blanked, blanked), (self.bare, bare)):
+            cut = [(key, key.rstrip(MARKS)) for key in unseen]
+            pairs = [(table, k, letters) for k, letters in cut if letters and letters != k and letters[-1].isalpha()]
+            unseen.difference_update([k for _, k, _ in pairs])
+            unseen.update([letters for _, _, letters in pairs if letters not in table])
+            halved += pairs
+        bare.update({k[len(letters) :] for _, k, letters in halved} - self.bare.keys())
+        keys, bare_keys = list(blanked), list(bare)
+        ids = list(self.encode([k if k[0] == "\n" else " " + k for k in keys] + bare_keys))
+        self.blanked.update(zip(keys, ids))
+        self.bare.update(zip(bare_keys, ids[len(keys) :]))
+        for table, key, letters in halved:
+            table[key] = whole = table[letters] + self.bare[key[len(letters) :]]
+            ids.append(whole)
+        keys += bare_keys + [key for _, key, _ in halved]
+        self.bytes += sum(map(len, keys)) + sum(map(len, ids)) + ENTRY_BYTES * len(keys)
 
     def encoded(self, texts: list[str]) -> list[bytes]:
-        """The encoding of each text; parts not seen before are encoded together."""
-        cut = [chunks_of(t) for t in texts]
-        if len(self) > self.most:
+        """The encoding of each text; chunks not seen before are encoded together."""
+        if self.bytes > self.most_bytes:
             self.clear()
-        new = {c for chunks in cut for c in chunks if c not in self}
-        parts = {c: letters_and_marks(c) for c in new}
-        unseen = list({p for pair in parts.values() for p in pair if p not in self})
-        self.update(zip(unseen, self.encode(unseen)))
-        for chunk, pair in parts.items():
-            if len(pair) == 2:
-                self[chunk] = self[pair[0]] + self[pair[1]]
-        return [b"".join(map(self.__getitem__, chunks)) for chunks in cut]
+        blanked, bare, rows, holes = set(), set(), [], []
+        for text in texts:
+            parts = split_at_blanks(text)
+            if parts is None:
+                table, keys, unseen = self.bare, CHUNKS.findall(text), bare
+                row = list(map(table.get, keys))
+            else:
+                (first, keys), table, unseen = parts, self.blanked, blanked
+                row = [self.bare.get(first)]  # of an empty chunk nothing
+                row += map(table.get, keys)
+                keys.insert(0, first)
+                if row[0] is None:
+                    bare.add(first)
+                    holes.append((row, 0, self.bare, first))
+            at = -1 if parts is None else 0
+            try:
+                while True:
+                    at = row.index(None, at + 1)
+                    key = keys[at]
+                    unseen.add(key)
+                    holes.append((row, at, table, key))
+            except ValueError:
+                rows.append(row)
+        if blanked or bare:
+            self._learn(blanked, bare)
+        for row, at, table, key in holes:
+            row[at] = table[key]
+        return [b"".join(row) for row in rows]

@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from daymill.llm import byte_bpe, pieces, quality_model, quality_rules, secrets, token_files, url_filter
+from daymill.llm import byte_bpe, pieces, quality_model, quality_rules, queries, secrets, shared, token_files, url_filter
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -222,6 +222,26 @@ def test_attention_learns_from_document_labels(spark, no_docs, odd_docs):
     assert quality_model.train(no_docs, labels).scores(["a"]).shape == (1,)
 
 
+def test_held_out_quality(spark):
+    """Ranking and accuracy on the third of the labels that nothing was learned from."""
+    sf_dir = "/root/testdata/sf0.01"
+    scored = queries.QUERIES["op2_quality_scores"](spark, sf_dir).filter("held_out")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = scored.join(labels, "doc_id").select("score", "predicted", "quality").collect()
+    good, bad = ([r.score for r in rows if r.quality == q] for q in (1, 0))
+    assert len(good) > 30 and len(bad) > 10
+    above = sum((g > b) + 0.5 * (g == b) for g in good for b in bad)
+    assert above / (len(good) * len(bad)) > 0.9
+    assert sum(r.predicted == r.quality for r in rows) / len(rows) > 0.85
+
+
+def test_no_class_meets_in_one_task(spark):
+    docs = spark.range(50).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(50).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS label")
+    few = quality_model.train(docs, labels, sample_of_class=3)
+    assert few.scores(["text"]).shape == (1,)
+
+
 def test_gradients():
     import numpy as np
 
@@ -273,8 +293,7 @@ def brute_verdict(url):
 def test_longest_rule_wins(spark):
     pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(URLS)], "page_id BIGINT, url STRING, rule STRING")
     rules = spark.createDataFrame([(r.host, r.path, r.verdict) for r in RULES], "host STRING, path STRING, verdict STRING")
-    short = pages.filter("length(url) < 1000 OR url IS NULL")
-    for judged in (url_filter.filter_urls(pages, RULES), url_filter.filter_urls_by_join(short, rules)):
+    for judged in (url_filter.filter_urls(pages, RULES), url_filter.filter_urls_by_join(pages, rules)):
         for r in judged.collect():
             assert (r.host, r.path, r.rule, r.verdict) == brute_verdict(r.url)
     assert url_filter.filter_urls(pages.limit(0), RULES).count() == 0
@@ -332,6 +351,29 @@ def test_long_pieces_and_forgetting(reference):
         assert small.encode(text.encode()) == reference.encode_ordinary(text)
 
 
+def test_states_are_bounded_within_a_piece(reference):
+    rng = random.Random(6)
+    piece = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(3_000))
+    small = byte_bpe.Transducer(byte_bpe.read_ranks(RANKS), most_states=200)
+    for text in (piece, "ab" * 700 + piece + "é" * 500):
+        assert small.encode(text.encode()) == reference.encode_ordinary(text)
+        assert len(small._states) <= 202
+
+
+def test_caches_are_bounded_in_bytes_and_let_go():
+    cache = pieces.ChunkCache(lambda chunks: [c.encode() for c in chunks], 5_000)
+    texts = [" ".join(f"word{i * 7 + k}," for k in range(9)) + "\nnext  line" for i in range(60)]
+    for text in texts:
+        assert cache.encoded([text, "", text[:20]]) == [text.encode(), b"", text[:20].encode()]
+        assert cache.bytes < 5_000 + 40 * 300
+    let_go = []
+    shared.only_holder("one", lambda: let_go.append("one"))
+    shared.only_holder("one", lambda: let_go.append("again"))
+    assert let_go == []
+    shared.only_holder("two", lambda: None)
+    assert let_go == ["again"]
+
+
 def test_unfinished_characters_are_marked():
     ranks = byte_bpe.read_ranks(RANKS)
     decoder = byte_bpe.StreamDecoder(ranks)
@@ -411,3 +453,12 @@ def test_only_wanted_frames_are_read_and_damage_is_seen(tmp_path):
             list(token_files.TokenFile(source).documents())
 
 
+
+
+def test_lines_of_chunks_are_encoded_as_documents_are(spark, library):
+    """Every document of the given table, with all its words new to the encoder."""
+    encoder = token_files.LibraryEncoder(JSON, 2)
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    texts += ["　a b", "x\x85y", "a\x1cb \x1c", "tail \n", "\n\n", "é é"]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == [*library.encode(text, add_special_tokens=False).ids, 2]
