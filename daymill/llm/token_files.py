@@ -33,15 +33,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daymill.llm.pieces import ChunkCache
-from daymill.llm.shared import whole_text
+from daymill.llm.shared import only_holder, seldom_collected, whole_text
 from daymill.session import scratch_path
 
 # Fixed values of the seekable format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC, WITH_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 ENTRY, FOOTER, HEADER = struct.Struct("<III"), struct.Struct("<IBI"), struct.Struct("<II")
 
-FRAME_TOKENS, LEVEL, TEXTS_AT_ONCE = 1 << 16, 3, 500
-MOST_CHUNKS = 900_000
+FRAME_TOKENS, LEVEL, TEXTS_AT_ONCE = 1 << 16, 1, 500
+# Bytes of encodings that a worker keeps, and chunks encoded as one text.
+MOST_BYTES, CHUNKS_A_TEXT = 140_000_000, 2_000
 # A lookup by id takes so many ids at most; beyond that all files are read and joined.
 MOST_WANTED = 100_000
 INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("n_tokens", "<u4"), ("frame", "<u4")])
@@ -156,12 +157,39 @@ class LibraryEncoder:
         self._end = struct.pack("<I", end_id)
         added = self._library.get_added_tokens_decoder().values()
         self._special = [t.content for t in added]
-        self._cache = ChunkCache(self._encode, MOST_CHUNKS)
+        self._cache = ChunkCache(self._encode_chunks, MOST_BYTES)
+        only = self._library.encode("\n", add_special_tokens=False).ids
+        self._break = only[0] if len(only) == 1 else -1
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
+    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """The encoding of each chunk; many at once, as lines of one text.
+
+        A line break between words is a piece of its own, so what lies between
+        two of its ids is a chunk. Chunks of white space are encoded by
+        themselves, and so are all if the lines do not add up.
+        """
+        found = [b""] * len(chunks)
+        joined = [i for i, c in enumerate(chunks) if "\n" not in c and not c.isspace()]
+        alone = sorted(set(range(len(chunks))) - set(joined)) if len(joined) < len(chunks) else []
+        for at in range(0, len(joined), CHUNKS_A_TEXT):
+            some = joined[at : at + CHUNKS_A_TEXT]
+            text = "\n".join([chunks[i] for i in some])
+            ids = np.array(self._library.encode(text, add_special_tokens=False).ids, np.uint32)
+            breaks = np.flatnonzero(ids == self._break)
+            if len(breaks) != len(some) - 1:
+                alone += some
+                continue
+            raw, ends = ids.tobytes(), (4 * breaks).tolist()
+            for i, start, end in zip(some, [0, *(e + 4 for e in ends)], [*ends, len(raw)]):
+                found[i] = raw[start:end]
+        for i, ids in zip(alone, self._encode([chunks[i] for i in alone])):
+            found[i] = ids
+        return found
+
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = {i for i, t in enumerate(texts) if any(s in t for s in self._special)}
         plain = self._cache.encoded(["" if i in whole else t for i, t in enumerate(texts)])
@@ -201,6 +229,8 @@ def write_token_files(
     ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_last(), tie, "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_holder("token_files", encoder_of.cache_clear)
+        seldom_collected()
         encoder = encoder_of(tokenizer_path, end_id)
         context = TaskContext.get()
         number, store, at = context.partitionId(), *filesystem_of(path)
