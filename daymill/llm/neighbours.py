@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -19,6 +19,9 @@ from daymill.llm.shared import written
 
 # Index rows a task holds at once, about, and rows of a bucket that stay together.
 ROWS_A_PART, ROWS_A_PIECE = 25_000, 3_000
+# Queries of the sample that an index is tried on, the share of them that may be left to be compared
+# with all rows, and the hashes that a table keeps all the same.
+TRIED, MOST_LEFT, LEAST_HASHES = 40, 0.05, 3
 # Where queries meet all rows: the most rows and queries of a block, about, the fewest blocks of
 # rows, and the distances held at once.
 ROWS_A_BLOCK, QUERIES_A_BLOCK, LEAST_BLOCKS, BLOCK_CELLS = 50_000, 5_000, 24, 4_000_000
@@ -147,7 +150,10 @@ def fit(
     the rows so that a bucket holds about ``bucket_rows``; fewer rows than that
     are one bucket, and all of them are compared. Where neighbours are
     expected is taken from the nearest that the sample shows, their rank
-    brought from the size of the whole to that of the sample.
+    brought from the size of the whole to that of the sample. Where that many
+    hashes need more probes than allowed for some queries of the sample, there
+    are fewer hashes, and so larger buckets, until ``MOST_LEFT`` of them or less
+    are left to be compared with all rows, whatever the number of rows.
     """
     size = vectors.shape[1] if len(vectors) else 1
     rng = np.random.default_rng(seed)
@@ -164,10 +170,26 @@ def fit(
         near = off[np.argsort(squares, axis=1, kind="stable")[:, at]]
         pull = float((near * asked).sum() / max((asked**2).sum(), 1e-12))
         reach = float(np.sqrt(((near - pull * asked) ** 2).sum(axis=1).mean())) or 1e-6 * spread
-    return Index(
+    index = Index(
         rng.standard_normal((tables, hashes, size)), rng.uniform(0, width, (tables, hashes)),
         width, middle, pull, reach, hits, most_probes,
     )
+    tried = vectors[:: max(1, len(vectors) // TRIED)]
+
+    def with_hashes(n: int) -> Index:
+        return replace(index, directions=index.directions[:, :n], offsets=index.offsets[:, :n])
+
+    def too_many(n: int) -> bool:
+        left = sum(b is None for b in _probed_buckets(with_hashes(n), tried))
+        return left > MOST_LEFT * len(tried)
+
+    if hashes <= LEAST_HASHES or not too_many(hashes):
+        return index
+    fewest, most = LEAST_HASHES, hashes  # the answer is below ``most``
+    while most - fewest > 1:
+        middle_one = (fewest + most) // 2
+        fewest, most = (fewest, middle_one) if too_many(middle_one) else (middle_one, most)
+    return with_hashes(fewest)
 
 
 def _usable(vector: Column) -> Column:
@@ -258,20 +280,34 @@ def nearest(
             for at in range(0, len(batch), 200):
                 yield _dealt_rows(parts, batch.iloc[at : at + 200])
 
-    def compared(probe: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        return _best_of_part(probe, held, k)
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, kept = None, []
+        for batch in batches:
+            for number, rows in batch.groupby("part"):
+                if number != part:
+                    part, kept = number, []
+                asks = rows["asks"] == 1
+                if not asks.all():
+                    kept.append(rows[~asks])
+                if asks.any() and kept:
+                    kept = [pd.concat(kept)]
+                    yield _best_of_part(rows[asks], kept[0], k)
 
     tried = written(asked.mapInPandas(
         probed, "vec_id bigint, vector array<double>, reached boolean, buckets array<bigint>"
     ), "probes")
     reached = tried.filter("reached")
-    left = reached.select("vec_id", "vector", "buckets").mapInPandas(
-        dealt, "part int, vec_id bigint, vector array<double>, buckets array<bigint>"
-    ).groupBy("part")
-    right = stored.mapInPandas(hashed, schema).groupBy("part")
     if reached.isEmpty():
         return _answers(_compared_with_all(asked, stored, k, n_rows), k)
-    found = written(_answers(left.cogroup(right).applyInPandas(
+    visits = reached.select("vec_id", "vector", "buckets").mapInPandas(
+        dealt, "part int, vec_id bigint, vector array<double>, buckets array<bigint>"
+    ).withColumns({"bucket": F.lit(0).cast("bigint"), "asks": F.lit(1)})
+    held = stored.mapInPandas(hashed, schema).withColumns(
+        {"buckets": F.lit(None).cast("array<bigint>"), "asks": F.lit(0)}
+    )
+    # Rows of a part come first and are kept, queries pass by in batches, however many they are.
+    meeting = held.unionByName(visits).repartition("part").sortWithinPartitions("part", "asks")
+    found = written(_answers(meeting.mapInPandas(
         compared, "query_id bigint, vec_id bigint, score double"
     ), k), "found")
     # Counted over the answers themselves: a query without any has no row here.
